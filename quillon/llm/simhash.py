@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, doc_text, table
+from .common import cut, doc_text, fresh, table
 from .components import components
 
 BUDGET = 2
@@ -60,14 +60,14 @@ def fingerprint(text: bytes | None, size: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp): fp is the fingerprint as a signed 64-bit integer."""
+    """(doc_id, row_key, fp): fp is the fingerprint as a signed 64-bit integer, row_key the text's hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fp = np.array([fingerprint(t, size) for t in b["text"].to_pylist()], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array(fp.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b["doc_id"], b["row_key"], pa.array(fp.view(np.int64))], ["doc_id", "row_key", "fp"])
 
-    return doc_text(docs).mapInArrow(run, "doc_id long, fp long")
+    return doc_text(docs).withColumn("row_key", F.xxhash64("text")).mapInArrow(run, "doc_id long, row_key long, fp long")
 
 
 def _permuted(fp: np.ndarray, pair: int) -> np.ndarray:
@@ -190,25 +190,30 @@ def links(reps: DataFrame, bucket: int = BUCKET) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, bucket: int = BUCKET) -> DataFrame:
-    """(doc_id, fp, component_id) for each row of ``docs``."""
+    """(doc_id, row_key, fp, component_id) for each row of ``docs``."""
     fps = cut(fingerprints(docs))
     reps = cut(fps.groupBy("fp").agg(F.min("doc_id").alias("rep")))
     named = components(links(reps, bucket)).select(F.col("node").alias("rep"), "component")
     of = reps.join(named, "rep", "left").select("fp", F.coalesce("component", "rep").alias("component_id"))
-    return fps.join(of, "fp").select("doc_id", "fp", "component_id")
+    return fps.join(of, "fp").select("doc_id", "row_key", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, bucket: int = BUCKET) -> DataFrame:
-    """The rows of ``docs`` whose doc_id names their component; of repeated such rows, one.
+    """One row of ``docs`` for each component, with the same columns.
 
-    Rows without doc_id stay only if nothing with a doc_id shares their
-    fingerprint.  Columns are those of ``docs``.
+    It is the row whose doc_id names the component; of several rows with that
+    doc_id, those with other texts are judged by their own fingerprints, and one
+    of the rest stays.  A row without doc_id stays only where no row with one
+    shares its fingerprint, and of such rows with one fingerprint one stays.
     """
+    key, fp, taken = (fresh(x, docs.columns) for x in ("row_key", "fp", "first_id"))
     found = near_duplicates(docs.select("doc_id", "text"), bucket)
-    first = found.filter("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
-    lone = found.filter("component_id is null").count()
-    return kept.unionByName(docs.filter("doc_id is null")) if lone else kept
+    first = found.filter("doc_id = component_id").select(F.col("doc_id").alias(taken), F.col("row_key").alias(key)).distinct()
+    kept = docs.join(first, (F.col("doc_id").cast("long") == F.col(taken)) & (F.xxhash64("text") == F.col(key)), "left_semi")
+    kept = kept.dropDuplicates(["doc_id"]).select(*docs.columns)
+    lone = found.filter("doc_id is null and component_id is null").select(F.col("row_key").alias(key), F.col("fp").alias(fp)).distinct()
+    nameless = docs.filter("doc_id is null").join(lone, F.xxhash64("text") == F.col(key)).dropDuplicates([fp]).select(*docs.columns)
+    return kept.unionByName(nameless)
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
