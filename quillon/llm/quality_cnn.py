@@ -141,14 +141,18 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, most_bytes
     """A network from a bounded sample of labelled rows that are not held out."""
     known = labels.filter("doc_id is not null and quality is not null").filter(~held_out("doc_id"))
     known = known.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").alias("y"), F.max("quality").alias("z")).filter("y = z")
-    # One spare row for each that may have no text; the sizes decide how many texts fit, before any is fetched.
     picked = known.select("doc_id", F.col("y").cast("int").alias("y"), F.xxhash64("doc_id").alias("h")).orderBy("h", "doc_id").limit(rows)
     texts = doc_text(docs).join(F.broadcast(picked), "doc_id").filter("text is not null")
-    from pyspark.sql import Window
-
-    so_far = F.sum(F.octet_length("text")).over(Window.orderBy("h", "doc_id", F.md5("text")).rowsBetween(Window.unboundedPreceding, 0))
-    sized = texts.select("h", "doc_id", "y", "text").withColumn("so_far", so_far).filter(F.col("so_far") <= most_bytes)
-    got = [(bytes(r.text), r.y) for r in sized.orderBy("h", "doc_id", F.md5("text")).collect()]
+    # Sizes first: they decide how many of the texts fit, before any is fetched.
+    last, size = None, 0
+    for r in texts.groupBy("h").agg(F.sum(F.octet_length("text")).alias("n")).orderBy("h").collect():
+        size += r.n
+        if size > most_bytes:
+            break
+        last = r.h
+    if last is None:
+        return ByteCNN()
+    got = [(bytes(r.text), r.y) for r in texts.filter(F.col("h") <= last).orderBy("h", "doc_id", F.md5("text")).collect()]
     return ByteCNN().fit(got)
 
 
