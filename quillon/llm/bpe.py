@@ -2,22 +2,24 @@
 
 ``encode`` works in four steps.
 
-1. Where documents are read, each block of texts (``CHUNK_BYTES``) is cut into
+1. Where documents are read, each chunk of texts (``CHUNK_BYTES``) is cut into
    pre-tokens.  A text becomes its sequence of word numbers (the positions),
-   and the block's words are listed once each.  Both go to a staged table.
-2. The words of all blocks are shuffled, and each distinct word is encoded
-   once.
-3. The ids are joined back to the blocks' word lists.  A frequent word has one
-   row for each block, not for each occurrence, and Spark may split the join.
-4. Each block's texts are reassembled from its word numbers and its words' ids.
-   Ids and positions meet in one task for each block, whose size is bounded.
-
-Decoding looks every id up in the token-byte table, which has the fixed size of
-the vocabulary.
+   and the chunk's words are listed once each, in hash buckets.
+2. The buckets of all chunks are shuffled by bucket, so that all occurrences of
+   a word meet, and each distinct word is encoded once.  A frequent word comes
+   once from each chunk, not once for each occurrence.
+3. The ids go back to the chunks they were asked by.
+4. Each chunk's texts are reassembled from its word numbers and its words' ids.
+   A chunk has a bounded size, so this is a bounded group.
+
+Word lists, numbers and ids travel as compressed blocks.  Step 1 is staged, so
+that both the words and the numbers come from one committed attempt.  Decoding
+looks every id up in the token-byte table, which has the fixed size of the
+vocabulary.
 
 Defined cases: null text counts as empty and gives no ids; a text longer than a
-block is a block of its own; repeated rows, repeated or null doc_ids give a row
-each; the columns asked for by ``keep`` ride along.
+chunk is a chunk of its own; repeated rows, repeated or null doc_ids give a row
+each; columns of any name ride along.
 """
 
 from __future__ import annotations
@@ -26,7 +28,9 @@ import base64
 import hashlib
 import heapq
 import uuid
+import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -35,9 +39,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .blocks import buckets, squeeze, squeeze_strings, unsqueeze, unsqueeze_strings
 from .common import staged, table
 
-CHUNK_BYTES = 24 << 20
+CHUNK_BYTES = 24 << 20  # of characters, of one chunk of texts
 
 
 def default_vocabulary() -> tuple[str, str]:
@@ -101,41 +106,90 @@ def _encode_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return out
 
 
-def _cutter(pattern: str, at: int, names: list[str]):
-    """Texts to word numbers (kind 1) and word lists (kind 0), a block at a time."""
+def _cutter(pattern: str, at: int, names: list[str], n_buckets: int):
+    """Texts to chunks: word lists by bucket, the order of word numbers, and the texts' numbers."""
+    columns = ["chunk", "bucket", "block", "places", *names]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find = regex.compile(pattern).findall
         number: dict[str, int] = {}
-        chunk, size = uuid.uuid4().hex, 0
-
-        def listed() -> Iterator[pa.RecordBatch]:
-            words = list(number)
-            for i in range(0, len(words), 50_000):
-                w = [x.encode() for x in words[i : i + 50_000]]
-                yield pa.RecordBatch.from_arrays([pa.array([chunk] * len(w)), pa.array(range(i, i + len(w)), pa.int32()), pa.array(w, pa.binary()), pa.nulls(len(w), pa.binary()), *(pa.nulls(len(w), t) for t in kinds)], ["chunk", "nr", "word", "places", *names])
+        texts: list[np.ndarray] = []
+        rest: list[list[pa.Array]] = []
+        kinds: list[pa.DataType] = []
+        size = 0
+
+        def rows(n: int, **given) -> pa.RecordBatch:
+            types = {"chunk": pa.string(), "bucket": pa.int32(), "block": pa.binary(), "places": pa.binary(), **dict(zip(names, kinds))}
+            return pa.RecordBatch.from_arrays([given[c] if c in given else pa.nulls(n, types[c]) for c in columns], columns)
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            chunk = uuid.uuid4().hex
+            words = [w.encode() for w in number]
+            where = np.array([zlib.crc32(w) % n_buckets for w in words], dtype=np.int64)
+            order = sorted(range(len(words)), key=lambda i: (where[i], words[i]))
+            # Frequent words get small numbers; "back" finds a number's word in bucket order.
+            counts = np.bincount(np.concatenate(texts), minlength=len(words)) if words else np.zeros(0, np.int64)
+            by_count = np.argsort(-counts, kind="stable")
+            rank = np.empty(len(words), dtype=np.uint32)
+            rank[by_count] = np.arange(len(words), dtype=np.uint32)
+            place = np.empty(len(words), dtype=np.uint32)
+            place[order] = np.arange(len(words), dtype=np.uint32)
+            back = place[by_count]
+            yield rows(1, chunk=pa.array([chunk]), block=pa.array([squeeze(back)], pa.binary()))
+            ends = np.flatnonzero(np.diff(where[order], append=-1)) + 1
+            lists = [(int(where[order[a]]), squeeze_strings([words[i] for i in order[a:b]])) for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())] if words else []
+            for i in range(0, len(lists), 2000):
+                part = lists[i : i + 2000]
+                yield rows(len(part), chunk=pa.array([chunk] * len(part)), bucket=pa.array([b for b, _ in part], pa.int32()), block=pa.array([x for _, x in part], pa.binary()))
+            done = 0
+            for cols in rest:
+                n = len(cols[0]) if cols else len(texts)
+                blocks = [squeeze(rank[t]) for t in texts[done : done + n]]
+                done += n
+                yield rows(n, chunk=pa.array([chunk] * n), places=pa.array(blocks, pa.binary()), **dict(zip(names, cols)))
+            number.clear()
+            texts.clear()
+            rest.clear()
 
         for b in batches:
             kinds = [b.schema.field(i).type for i in range(b.num_columns) if i != at]
-            texts = b.column(at).to_pylist()
-            rest = [c for i, c in enumerate(b.columns) if i != at]
+            values = b.column(at).to_pylist()
+            others = [c for i, c in enumerate(b.columns) if i != at]
             start = 0
-            while start < len(texts):
-                stop, places = start, []
-                while stop < len(texts) and (stop == start or size < CHUNK_BYTES):
-                    words = find(texts[stop] or "")
-                    places.append(np.fromiter((number.setdefault(w, len(number)) for w in words), dtype=np.uint32, count=len(words)).tobytes())
-                    size += len(texts[stop] or "") + 64
-                    stop += 1
-                n = stop - start
-                yield pa.RecordBatch.from_arrays([pa.array([chunk] * n), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()), pa.array(places, pa.binary()), *(c.slice(start, n) for c in rest)], ["chunk", "nr", "word", "places", *names])
-                start = stop
+            for i, text in enumerate(values):
+                words = find(text or "")
+                texts.append(np.fromiter((number.setdefault(w, len(number)) for w in words), dtype=np.uint32, count=len(words)))
+                size += len(text or "") + 64
                 if size >= CHUNK_BYTES:
-                    yield from listed()
-                    number.clear()
-                    chunk, size = uuid.uuid4().hex, 0
-        if number:
-            yield from listed()
+                    rest.append([c.slice(start, i + 1 - start) for c in others])
+                    start, size = i + 1, 0
+                    yield from flush()
+            if start < len(values):
+                rest.append([c.slice(start) for c in others])
+        if texts:
+            yield from flush()
+
+    return run
+
+
+def _encode_bucket(path: str):
+    """All chunks' lists of one bucket of words: each distinct word is encoded once."""
+
+    def run(asked: pa.Table) -> pa.Table:
+        ranks = _ranks(path)
+        known: dict[bytes, list[int]] = {}
+        answers = []
+        for block in asked["block"].to_pylist():
+            ids: list[int] = []
+            sizes = []
+            for w in unsqueeze_strings(block):
+                got = known.get(w)
+                if got is None:
+                    got = known[w] = encode_word(w, ranks)
+                sizes.append(len(got))
+                ids += got
+            answers.append(squeeze(np.array(sizes, dtype=np.uint32), np.array(ids, dtype=np.uint32)))
+        return pa.table({"chunk": asked["chunk"], "bucket": asked["bucket"], "block": pa.array(answers, pa.binary())})
 
     return run
 
@@ -152,41 +206,36 @@ def encode(docs: DataFrame, path: str | None = None, pattern: str | None = None,
     rest = [f"c{i}" for i, c in enumerate(docs.columns) if i != at]
     kinds = [f for i, f in enumerate(docs.schema.fields) if i != at]
     kept = T.StructType([T.StructField(n, f.dataType) for n, f in zip(rest, kinds)])
-    cut_schema = T.StructType([T.StructField("chunk", T.StringType()), T.StructField("nr", T.IntegerType()), T.StructField("word", T.BinaryType()), T.StructField("places", T.BinaryType()), *kept])
+    cut_schema = T.StructType([*T.StructType.fromDDL("chunk string, bucket int, block binary, places binary").fields, *kept])
     source = docs.select(*[F.col(f"`{c}`").alias("text" if i == at else f"c{i}") for i, c in enumerate(docs.columns)])
-    parts = staged(source.mapInArrow(_cutter(pattern, at, rest), cut_schema), "bpe")
-    words = parts.filter("word is not null").select("chunk", "nr", "word")
-
-    def each_once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranks = load_ranks(path)
-        for b in batches:
-            ids = [np.array(encode_word(w, ranks), dtype="<u4").tobytes() for w in b["word"].to_pylist()]
-            yield pa.RecordBatch.from_arrays([b["word"], pa.array(ids, pa.binary())], ["word", "ids"])
+    parts = staged(source.mapInArrow(_cutter(pattern, at, rest, buckets(docs)), cut_schema), "bpe")
 
-    coded = words.select("word").distinct().mapInArrow(each_once, "word binary, ids binary")
-    back = words.join(coded, "word").select("chunk", "nr", "ids")
-    texts = parts.filter("places is not null").select(F.col("chunk").alias("chunk"), "places", *rest)
+    asked = parts.filter("bucket is not null").select("chunk", "bucket", "block")
+    answers = asked.groupBy("bucket").applyInArrow(_encode_bucket(path), "chunk string, bucket int, block binary")
+    texts = parts.filter("bucket is null").select(F.col("chunk").alias("chunk"), "block", "places", *rest)
     finish = finish or (lambda ids, table: (ids.tobytes(),))
     added = T.StructType.fromDDL(fields)
-    out_schema = T.StructType([*kept, *added])
 
-    def put_together(key, texts: pa.Table, ids: pa.Table) -> pa.Table:
+    def put_together(key, texts: pa.Table, answers: pa.Table) -> pa.Table:
         tokens = _tokens(path)
-        ids = ids.sort_by("nr")
-        each = ids["ids"].to_pylist()
-        sizes = np.array([len(x) // 4 for x in each], dtype=np.int64)
-        first = np.concatenate(([0], np.cumsum(sizes)))
-        coded = np.frombuffer(b"".join(each), dtype="<u4")
+        blocks = texts["block"].to_pylist()
+        (back,), _ = unsqueeze(next(x for x in blocks if x is not None))
+        texts = texts.filter(pa.array([x is None for x in blocks]))
+        got = [unsqueeze(x)[0] for x in answers.sort_by("bucket")["block"].to_pylist()]
+        sizes = np.concatenate([s for s, _ in got] or [np.zeros(0, np.uint32)]).astype(np.int64)
+        coded = np.concatenate([i for _, i in got] or [np.zeros(0, np.uint32)])
+        first = np.concatenate(([0], np.cumsum(sizes)))[:-1][back]
+        sizes = sizes[back]
         rows = []
         for p in texts["places"].to_pylist():
-            nr = np.frombuffer(p, dtype="<u4")
+            (nr,), _ = unsqueeze(p)
             n = sizes[nr]
             start = np.repeat(first[nr] - np.concatenate(([0], np.cumsum(n)[:-1])), n) if len(nr) else np.zeros(0, np.int64)
             rows.append(finish(coded[start + np.arange(len(start))], tokens))
         columns = list(zip(*rows)) or [()] * len(added)
         return pa.Table.from_arrays([*(texts[n] for n in rest), *(pa.array(c, type=_arrow(f)) for c, f in zip(columns, added))], names=[*rest, *added.names])
 
-    out = texts.groupBy("chunk").cogroup(back.groupBy("chunk")).applyInArrow(put_together, out_schema)
+    out = texts.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(put_together, T.StructType([*kept, *added]))
     names = dict(zip(rest, (f.name for f in kinds)))
     return out.select(*[F.col(n).alias(names[n]) for n in rest], *added.names)
 
@@ -195,6 +244,11 @@ def _arrow(field: T.StructField) -> pa.DataType:
     return {"binary": pa.binary(), "string": pa.string(), "bigint": pa.int64(), "array<int>": pa.list_(pa.int32())}[field.dataType.simpleString()]
 
 
+@lru_cache(maxsize=2)
+def _ranks(path: str) -> dict[bytes, int]:
+    return load_ranks(path)
+
+
 _TOKENS: dict[str, tuple[np.ndarray, np.ndarray]] = {}
 
 
