@@ -6,9 +6,9 @@ gram that any language has seen, else progressively shorter ones; the mean of
 their log frequencies counts as one word.  A text's language has the greatest
 sum over its words.
 
-The model comes from a bounded sample of labelled rows: the ``TRAIN_ROWS`` rows
-with the least hash of doc_id, of which words are counted in Spark and the
-``MODEL_WORDS`` most frequent of each language are kept.  Rows whose
+The model comes from a bounded sample of labelled rows: about ``TRAIN_ROWS``
+rows, and never more, with the least hashes of doc_id.  Their words are counted
+in Spark and the ``MODEL_WORDS`` most frequent of each language are kept.  Rows whose
 crc32(doc_id) mod 3 is 1 are held out.  The model's size is bounded by these
 two parameters, whatever the size of the corpus, so it is broadcast.
 
@@ -27,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -135,10 +135,11 @@ def held_out(doc_id):
 def train(docs: DataFrame, rows: int = TRAIN_ROWS, words: int = MODEL_WORDS) -> Model:
     """A model from at most ``rows`` labelled rows of ``docs`` that are not held out."""
     usable = docs.filter("doc_id is not null and text is not null and lang is not null").filter(~held_out("doc_id"))
-    sample = usable.select("lang", "text", F.xxhash64("doc_id").alias("h"), "doc_id").orderBy("h", "doc_id").limit(rows)
+    n = usable.count()
+    sample = usable.select("lang", "text")
+    if n > rows:  # an even share of the hashes' range; the limit holds it where rows repeat a doc_id
+        sample = usable.filter(F.xxhash64("doc_id") <= int(-(2**63) + 2**64 * (0.97 * rows / n))).select("lang", "text").limit(rows)
     counted = sample.select("lang", F.explode(F.expr(r"regexp_extract_all(lower(text), '\\p{L}+', 0)")).alias("w")).groupBy("lang", "w").agg(F.count("*").alias("n"))
-    from pyspark.sql import Window
-
     first = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "w"))
     counts: dict[str, dict[str, int]] = defaultdict(dict)
     for r in counted.withColumn("nth", first).filter(F.col("nth") <= words).collect():
