@@ -275,6 +275,9 @@ def training_pages(n: int = 500, seed: int = 3) -> list[tuple[str, list[int]]]:
             return "<script>var a='<p>x</p>';</script>" + ("" if inside else f'<div class="{pick("breadcrumb", "menu", "pagination")}">' + links(2) + "</div>")
 
         out = ["<!DOCTYPE html><html><head><title>x</title><style>p{}</style></head><body>"]
+        bare = r.random() < 0.1  # nothing but the text, in no frame
+        if bare:
+            return out[0] + "".join(some(1, 1) for _ in range(r.choice((1, 1, 2, 5)))), y
         if r.random() < 0.5:
             out.append("<header>" + leaf(pick("h1", "div", "p"), words(2), 0) + (leaf("p", sentence(), 0) if r.random() < 0.3 else "") + (f"<nav>{links(3)}</nav>" if r.random() < 0.5 else "") + "</header>")
         if r.random() < 0.7:
