@@ -66,7 +66,7 @@ def valid_amino_acids(seq: Column | str) -> Column:
 
 def matches_with_n(query: Column | str, subject: Column | str) -> Column:
     """Whether ``query``, in which N stands for any of ATGCN, occurs in ``subject``."""
-    return as_column(subject).rlike(F.regexp_replace(F.upper(as_column(query)), "N", "[ATGCN]"))
+    return F.regexp_like(as_column(subject), F.regexp_replace(F.upper(as_column(query)), "N", "[ATGCN]"))
 
 
 def strand(query: Column | str, subject: Column | str) -> Column:

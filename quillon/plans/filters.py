@@ -68,7 +68,10 @@ def resolve(schema: T.StructType, path: str) -> tuple[Column, T.DataType]:
 
 
 def compile_filter(doc: Mapping[str, Any], schema: T.StructType, rules: FieldRules | None = None) -> Column:
-    """A boolean Column, never null, for a filter document."""
+    """A boolean Column for a filter document; like false where it is null.
+
+    Comparisons stay bare, so that they reach the scan.
+    """
     rules = rules or FieldRules()
     terms = []
     for key, value in doc.items():
@@ -77,7 +80,7 @@ def compile_filter(doc: Mapping[str, Any], schema: T.StructType, rules: FieldRul
                 raise FilterError(f"{key} takes a list")
             parts = [compile_filter(d, schema, rules) for d in value]
             joined = reduce(lambda a, b: a & b if key == "$and" else a | b, parts)
-            terms.append(~joined if key == "$nor" else joined)
+            terms.append(_no(joined) if key == "$nor" else joined)
         elif key == "$comment":
             continue
         elif key.startswith("$"):
@@ -98,7 +101,7 @@ def _field(path: str, given: str, value: Any, schema: T.StructType, rules: Field
     if not isinstance(value, Mapping):
         return _equals(column, kind, lit(value))
     if value and not all(k.startswith("$") for k in value):
-        return F.coalesce(column == F.struct(*[F.lit(v).alias(k) for k, v in value.items()]), F.lit(False))
+        return column == F.struct(*[F.lit(v).alias(k) for k, v in value.items()])
     terms = []
     for op, x in value.items():
         terms.append(_operator(op, x, value, column, kind, lit, path, given, schema, rules))
@@ -106,15 +109,18 @@ def _field(path: str, given: str, value: Any, schema: T.StructType, rules: Field
 
 
 def _any(column: Column, kind: T.DataType, test: Callable[[Column], Column]) -> Column:
-    got = F.exists(column, test) if isinstance(kind, T.ArrayType) else test(column)
-    return F.coalesce(got, F.lit(False))
+    return F.exists(column, test) if isinstance(kind, T.ArrayType) else test(column)
+
+
+def _no(test: Column) -> Column:
+    return ~F.coalesce(test, F.lit(False))
 
 
 def _equals(column: Column, kind: T.DataType, value: Any) -> Column:
     if value is None:
         return column.isNull()
     if isinstance(value, (list, tuple)):
-        return F.coalesce(column == F.array(*map(F.lit, value)), F.lit(False))
+        return column == F.array(*map(F.lit, value))
     return _any(column, kind, lambda c: c == F.lit(value))
 
 
@@ -126,18 +132,18 @@ def _operator(op, x, whole, column, kind, lit, path, given, schema, rules) -> Co
     if op == "$eq":
         return _equals(column, kind, lit(x))
     if op == "$ne":
-        return ~_equals(column, kind, lit(x))
+        return _no(_equals(column, kind, lit(x)))
     if op in ("$in", "$nin"):
         values = [lit(v) for v in x]
         plain = [v for v in values if v is not None]
         found = _any(column, kind, lambda c: c.isin(plain)) if plain else F.lit(False)
         if len(plain) < len(values):
-            found = found | column.isNull()
-        return found if op == "$in" else ~found
+            found = column.isNull() | found
+        return found if op == "$in" else _no(found)
     if op in _COMPARE:
         return _any(column, kind, lambda c: getattr(c, _COMPARE[op])(F.lit(lit(x))))
     if op == "$not":
-        return ~_field(path, given, x, schema, rules)
+        return _no(_field(path, given, x, schema, rules))
     if op == "$exists":
         return column.isNotNull() if x else column.isNull()
     if op == "$type":
@@ -145,7 +151,7 @@ def _operator(op, x, whole, column, kind, lit, path, given, schema, rules) -> Co
             raise FilterError(f"unknown type {x!r}")
         return F.lit(isinstance(kind, _TYPES[x])) & column.isNotNull()
     if op == "$size":
-        return F.coalesce(F.size(column) == x, F.lit(False)) if isinstance(kind, T.ArrayType) else F.lit(False)
+        return F.size(column) == x if isinstance(kind, T.ArrayType) else F.lit(False)
     if op == "$mod":
         return _any(column, kind, lambda c: c.cast("long") % x[0] == x[1])
     if op == "$regex":
@@ -160,7 +166,7 @@ def _operator(op, x, whole, column, kind, lit, path, given, schema, rules) -> Co
         if not isinstance(kind, T.ArrayType) or any(not k.startswith("$") for k in x):
             raise FilterError("$elemMatch takes operators on an array of values")
         test = lambda c: reduce(lambda a, b: a & b, [_operator(o, v, x, c, kind.elementType, lit, path, given, schema, rules) for o, v in x.items()])
-        return F.coalesce(F.exists(column, test), F.lit(False))
+        return F.exists(column, test)
     raise FilterError(f"operator {op} is not supported")
 
 

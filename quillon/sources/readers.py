@@ -51,7 +51,7 @@ def read_fastq(spark: SparkSession, path, schema: str | None = None) -> DataFram
     ordered = lines.repartition(n, "file").sortWithinPartitions("file", "at", "nr")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        file, header, seq, quality, state = None, "", [], "", 0
+        file, header, seq, bases, quality, state = None, "", [], "", "", 0
         out: list[tuple[str, str, str]] = []
 
         def ended() -> None:
@@ -71,18 +71,20 @@ def read_fastq(spark: SparkSession, path, schema: str | None = None) -> DataFram
                         raise FormatError(f"{file}: a header begins with @: {line[:80]!r}")
                     header, seq, quality, state = line[1:].strip(), [], "", 1
                 elif state == 1:
-                    if line == "+":
-                        state = 2
-                        seq = ["".join(seq)]
-                    else:
+                    if line != "+":
                         seq.append(line.strip())
+                        continue
+                    bases, state = "".join(seq), 2
+                    if not bases:
+                        out.append((header, "", ""))
+                        state = 0
                 else:
                     quality += line
-                if state == 2 and len(quality) >= len(seq[0]) and not (line == "+" and seq[0]):
-                    if len(quality) != len(seq[0]):
+                    if len(quality) > len(bases):
                         raise FormatError(f"{file}: lengths differ in the record {header!r}")
-                    out.append((header, seq[0], quality))
-                    state = 0
+                    if len(quality) == len(bases):
+                        out.append((header, bases, quality))
+                        state = 0
             yield pd.DataFrame(out, columns=["header", "sequence", "quality"])
             out = []
         ended()
@@ -176,7 +178,7 @@ def read_parallel_tables(spark: SparkSession, paths: dict[int, str], key: str =
 def read_blocks(spark: SparkSession, path, separator: str) -> DataFrame:
     """(lines) of each block of a report whose blocks begin with ``separator``."""
     raw = spark.read.option("lineSep", separator).text(path)
-    return raw.filter(F.trim("value") != "").select(F.split(F.trim(F.concat(F.lit(separator), "value")), "\r?\n").alias("lines"))
+    return raw.filter(F.trim("value") != "").select(F.split(F.regexp_replace(F.concat(F.lit(separator), "value"), r"\s+$", ""), "\r?\n").alias("lines"))
 
 
 def read_germline(spark: SparkSession, paths: Sequence[str], species: str | None = None, loci: Sequence[str] = (), functional: Sequence[str] = ()) -> DataFrame:
