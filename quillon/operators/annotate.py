@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import subprocess
+import tempfile
+from collections.abc import Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.convert import shm_from_matches
 from ..functions.genes import alignment_stats, hit_list, recombination_type
 from ..functions.sequences import as_column, reverse_complement, strand, valid_nucleotides
+from .pairing import reject_reason
 
 REGIONS = ("FR1", "CDR1", "FR2", "CDR2", "FR3", "CDR3", "FR4")
 
@@ -110,3 +115,61 @@ def merge_pairs(pairs: DataFrame, first: str, second: str, least: int = 10, most
     fits = F.get(F.filter(sizes, lambda k: miss(k) <= F.floor(k * most_mismatch)), F.lit(0))
     out = pairs.withColumn("_b", b).withColumn("overlap", F.when(F.least(F.length(first), F.length(second)) >= least, fits))
     return out.withColumn("merged", F.concat(F.col(first), F.substring("_b", F.col("overlap") + 1, F.length("_b")))).drop("_b")
+
+
+def imgt_mutations(rows: DataFrame) -> DataFrame:
+    """``rows`` of joined tables with mutation counts and percentages of the V and the J region."""
+    number = lambda c: F.trim(F.substring_index(F.when(F.trim(c) == "-", "0").otherwise(c), "(", 1)).try_cast("double")
+    have = set(rows.columns)
+
+    def of(name: str) -> Column:
+        return F.col(f"`{name}`") if name in have else F.lit(None).cast("string")
+
+    aa, changes = (number(of(f"V-REGION Nb of AA{x}_9")) - number(of(f"CDR3-IMGT Nb of AA{x}_9")) for x in ("", " changes"))
+    return rows.withColumns(
+        {
+            **{f"{r}_shm_percent": 100 - of(f"{r}-REGION identity %_1").try_cast("double") for r in "VJ"},
+            **{f"{r}_shm": shm_from_matches(of(f"{r}-REGION identity nt_1")) for r in "VJ"},
+            "V_shm_aa": changes,
+            "V_shm_aa_percent": F.round(100 * changes / F.nullif(aa, F.lit(0.0)), 4),
+        }
+    )
+
+
+def filter_reference_rows(df: DataFrame, cdrs: Sequence[str], alphabet: str = "ACDEFGHIKLMNPQRSTVWY") -> tuple[DataFrame, DataFrame]:
+    """Rows fit for a protein reference (ABSEQ, CDRs, VGENES, JGENES), and the count of each reason against the others."""
+    text = lambda c: F.coalesce(F.col(c), F.lit(""))
+    missing, shifted = F.lit(False), F.lit(False)
+    for c in cdrs:
+        missing = missing | (text(c) == "")
+        shifted = shifted | ~text("ABSEQ").contains(text(c))
+    rules = [
+        ("missing_seq", text("ABSEQ") == ""),
+        ("has_stop_codons", text("ABSEQ").contains("*")),
+        ("unk_chars", text("ABSEQ").rlike(f"[^{alphabet}]")),
+        ("missing_cdr", missing),
+        ("cdr_not_in_frame", shifted),
+        ("unk_recomb", recombination_type("VGENES", "JGENES", "UNK") == "UNK"),
+    ]
+    marked = df.withColumn("reject", reject_reason(rules)).withColumn("RECOMBINATIONTYPE", recombination_type("VGENES", "JGENES", "UNK"))
+    counts = marked.groupBy(F.coalesce("reject", F.lit("passed")).alias("reason")).agg(F.count("*").alias("counts"))
+    return marked.filter("reject is null").drop("reject"), counts
+
+
+def run_external(reads: DataFrame, command: Sequence[str], header: str, sequence: str, columns: Sequence[str], timeout: int = 3600) -> DataFrame:
+    """Rows that an aligner on every worker makes of the reads: ``columns`` of its tab-separated output.
+
+    ``command`` gets the place of a FASTA file with a batch of reads as its last
+    argument and prints the table.  The file is the task's own and goes with it.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            with tempfile.NamedTemporaryFile("w", suffix=".fasta") as f:
+                f.writelines(f">{h}\n{s}\n" for h, s in zip(b[header], b[sequence]) if s)
+                f.flush()
+                out = subprocess.run([*command, f.name], capture_output=True, text=True, timeout=timeout, check=True).stdout
+            rows = [(line.split("\t") + [""] * len(columns))[: len(columns)] for line in out.splitlines() if line.strip() and line[0] != "#"]
+            yield pd.DataFrame(rows, columns=list(columns))
+
+    return reads.select(header, sequence).mapInPandas(run, ", ".join(f"`{c}` string" for c in columns))

@@ -15,18 +15,10 @@ the sequential pass without ever gathering a component in one task.
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
-def _cut(df: DataFrame) -> DataFrame:
-    """A reliable checkpoint in the shared folder of the session."""
-    sc = df.sparkSession.sparkContext
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="quillon-"))
-    return df.checkpoint(eager=True)
+from .checkpoints import checkpointed
 
 
 def neighbours(items: DataFrame, seq: str, identity: float) -> DataFrame:
@@ -62,26 +54,26 @@ def greedy_clusters(items: DataFrame, seq: str, count: str, identity: float, mos
     """(seq, count, centroid, is_seed) of the greedy pass."""
     if not 0 < identity <= 1:
         raise ValueError("identity is above 0 and at most 1")
-    nodes = _cut(items.groupBy(F.col(seq).alias("s")).agg(F.sum(count).alias("n")).filter("s is not null"))
+    nodes = checkpointed(items.groupBy(F.col(seq).alias("s")).agg(F.sum(count).alias("n")).filter("s is not null"))
     pairs = neighbours(nodes, "s", identity)
     a, b = nodes.select(F.col("s").alias("a"), F.col("n").alias("na")), nodes.select(F.col("s").alias("b"), F.col("n").alias("nb"))
     both = pairs.join(a, "a").join(b, "b")
     first = (F.col("na") > F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("a") < F.col("b")))
     # s may join the earlier sequence e.
-    edges = _cut(both.select(F.when(first, F.struct(F.col("b").alias("s"), F.col("a").alias("e"), F.col("na").alias("ne"))).otherwise(F.struct(F.col("a").alias("s"), F.col("b").alias("e"), F.col("nb").alias("ne"))).alias("x")).select("x.*"))
-    done = _cut(nodes.join(edges, "s", "left_anti").select("s", F.col("s").alias("c")))
-    open_ = _cut(edges.select("s").distinct())
+    edges = checkpointed(both.select(F.when(first, F.struct(F.col("b").alias("s"), F.col("a").alias("e"), F.col("na").alias("ne"))).otherwise(F.struct(F.col("a").alias("s"), F.col("b").alias("e"), F.col("nb").alias("ne"))).alias("x")).select("x.*"))
+    done = checkpointed(nodes.join(edges, "s", "left_anti").select("s", F.col("s").alias("c")))
+    open_ = checkpointed(edges.select("s").distinct())
     for _ in range(most_rounds):
         state = edges.join(open_, "s", "left_semi").join(done.withColumnRenamed("s", "e"), "e", "left")
         # The earliest neighbour that is a centroid wins, once every neighbour before it is decided.
         order = F.struct((-F.col("ne")).alias("ne"), "e")
         best = state.groupBy("s").agg(F.min(F.when(F.col("c") == F.col("e"), order)).alias("seed"), F.min(F.when(F.col("c").isNull(), order)).alias("wait"))
         ready = best.filter("wait is null or seed < wait").select("s", F.coalesce("seed.e", "s").alias("c"))
-        ready = _cut(ready)
+        ready = checkpointed(ready)
         if ready.isEmpty():
             break
-        done = _cut(done.unionByName(ready))
-        open_ = _cut(open_.join(ready, "s", "left_anti"))
+        done = checkpointed(done.unionByName(ready))
+        open_ = checkpointed(open_.join(ready, "s", "left_anti"))
         if open_.isEmpty():
             break
     else:

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .checkpoints import checkpointed
+
 #: Count thresholds of the cumulative distribution.
 THRESHOLDS = (1, 2, 8, 16, 50, 100, 500, 1000)
 
@@ -23,7 +25,7 @@ def frequencies(table: DataFrame, columns: Sequence[str], within: Sequence[str]
         sums = table.groupBy(*within).agg(*[F.sum(c).alias(f"_{c}") for c in columns])
         out = table.join(sums, list(within))
     else:
-        out = table.crossJoin(F.broadcast(table.agg(*[F.sum(c).alias(f"_{c}") for c in columns])))
+        out = table.withColumns({f"_{c}": table.agg(F.sum(c)).scalar() for c in columns})
     return out.withColumns({c: F.col(c) / F.nullif(F.col(f"_{c}"), F.lit(0)) for c in columns}).drop(*[f"_{c}" for c in columns])
 
 
@@ -60,14 +62,36 @@ def count_cdf(counts: DataFrame, count: str, by: Sequence[str] = (), thresholds:
 
 
 def rank_abundance(counts: DataFrame, item: str, count: str, by: Sequence[str] = ()) -> DataFrame:
-    """Items by falling count with rank, share and cumulative share."""
-    part = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(1))
+    """Items by falling count with rank, share and cumulative share.
+
+    Without ``by`` there is one order over all items, which no single task may
+    hold: the items are range-partitioned, ranked and summed in each partition,
+    and moved on by the totals of the partitions before, of which there are as
+    many as partitions.
+    """
+    if not by:
+        return _global_rank_abundance(counts, item, count)
+    part = Window.partitionBy(*by)
     order = part.orderBy(F.desc(count), item)
     run = order.rowsBetween(Window.unboundedPreceding, 0)
     total = F.sum(count).over(part)
     return counts.select(*by, item, count, F.row_number().over(order).alias("rank"), (F.col(count) / total).alias("share"), (F.sum(count).over(run) / total).alias("cumulative"))
 
 
+def _global_rank_abundance(counts: DataFrame, item: str, count: str) -> DataFrame:
+    n = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = checkpointed(counts.select(item, count).repartitionByRange(n, F.desc(count), item).withColumn("_p", F.spark_partition_id()))
+    own = Window.partitionBy("_p").orderBy(F.desc(count), item)
+    local = placed.withColumns({"_rank": F.row_number().over(own), "_sum": F.sum(count).over(own.rowsBetween(Window.unboundedPreceding, 0))})
+    totals = placed.groupBy("_p").agg(F.count("*").alias("_n"), F.sum(count).alias("_t"))
+    before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("_p", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_n0"), F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_t0"))
+    all_ = totals.agg(F.sum("_t")).scalar()
+    # As many rows as partitions.
+    out = local.join(F.broadcast(offsets), "_p")
+    return out.select(item, count, (F.col("_n0") + F.col("_rank")).cast("int").alias("rank"), (F.col(count) / all_).alias("share"), ((F.col("_t0") + F.col("_sum")) / all_).alias("cumulative"))
+
+
 def length_stats(df: DataFrame, text: str, by: Sequence[str] = (), more_than: int = 2) -> DataFrame:
     """Mean and sample deviation of the lengths of distinct values longer than ``more_than``."""
     unique = df.select(*by, text).filter(F.length(text) > more_than).distinct()
@@ -78,7 +102,7 @@ def length_stats(df: DataFrame, text: str, by: Sequence[str] = (), more_than: in
 def share_histogram(df: DataFrame, item: str) -> DataFrame:
     """Counts with their percentage of all rows, to one decimal."""
     counts = df.groupBy(item).agg(F.count("*").alias("counts"))
-    return counts.withColumn("percent", F.round(100 * F.col("counts") / F.sum("counts").over(Window.partitionBy(F.lit(1))), 1))
+    return counts.withColumn("percent", F.round(100 * F.col("counts") / counts.agg(F.sum("counts")).scalar(), 1))
 
 
 def unique_sequences(df: DataFrame, seq: str, experiment: str, values: Sequence, order: Sequence[str], attributes: Sequence[str] = ()) -> DataFrame:

@@ -83,7 +83,7 @@ def sort_skip_limit(spark, sf):
 @query("select count(*) as all_rows, 25 as limited from (select 1 from orders where o_orderstatus = 'F')")
 def count_query(spark, sf):
     q = Query(table(spark, sf, "orders")).where({"o_orderstatus": "F"}).limit(25)
-    return q.base.agg(F.count("*").alias("all_rows")).crossJoin(q.df.agg(F.count("*").cast("int").alias("limited")))
+    return q.base.agg(F.count("*").alias("all_rows")).withColumn("limited", q.df.agg(F.count("*").cast("int")).scalar())
 
 
 @query("select distinct unnest(string_split(p_name, ' ')) as value from part")

@@ -137,3 +137,32 @@ def test_motif():
     assert motif.perplexity({"A": 0.5, "C": 0.5}) == pytest.approx(2)
     assert motif.best_window("AYYCX", side("YYC")) == (pytest.approx(0.9**3), 1)
     assert motif.read_motifs('[["IGH", {"1": {"C": 1.0}}, {"1": {"W": 1.0}}, 0, 1]]')[0].left == {1: {"C": 1.0}}
+
+
+def test_alignment_places():
+    from quillon.functions import alignment as al
+
+    assert al.in_frame("ACGT") == "NNACGT" and al.in_frame("ACG") == "ACG"
+    assert al.end_in_read(12, 10) == 9 and al.end_in_read(10, 10) == 10 and al.end_in_read(8, 20, 5, 9, to_last=True) == 12
+    assert al.start_in_frame(5, 1, "ACGACG", "ACGACG") == (5, 2)
+    start, frame = al.start_in_frame(1, 4, "ACGAC", "ACGAC", to_first=True)
+    assert start >= 1 and frame == (start - 1) % 3 + 1
+    got = al.without_gaps("ACTGA-CC", "AC-GATCC")
+    assert (got["nt"], got["nt_gapped"], got["adjusted"]) == ("ACTGACC", "ACTGAnCC", False)
+    assert al.without_gaps("ACTGACC", "AC-GACC", "remove")["nt"] == "ACGACC"
+    assert al.without_gaps("TAGACC", "TA-ACC", "on_stop") == {"nt": "TAACC", "nt_gapped": "TAACC", "aa": "*X", "aa_gapped": "*X", "adjusted": True}
+    assert al.without_gaps("ACG", "ACG") == {"nt": "ACG", "nt_gapped": None, "aa": "T", "aa_gapped": None, "adjusted": False}
+    hit = {"query": "AC-GTGGGGC", "germline": "ACTGTGGGGC", "start": 11}
+    assert al.fr4_start("TGGGG", [hit], "", 1) == 14
+    assert al.fr4_start("TGGGG", [], "AATGGGGTGGGG", 5) == 12
+    assert al.fr4_start("TGGGG", [], "AA", 5) is None
+    assert al.cdr3_and_fr4("TGTGCGTGGGGC", 1, 7, 12)["cdr3_aa"] == "CA"
+    assert al.cdr3_and_fr4("TGTGCGTGGGGC", 1, None, 12, 3)["cdr3_nt"] == "TGT"
+
+
+def test_with_fr4(spark):
+    from quillon.functions import alignment as al
+
+    df = spark.createDataFrame([("TGTGCGTGGGGC", 1, 12, []), (None, None, None, None)], "sequence string, cdr3_start int, end int, j_hits array<struct<query:string,germline:string,start:int>>")
+    got = al.with_fr4(df, "TGGGG").collect()
+    assert (got[0].cdr3_nt, got[0].fr4_frame) == ("TGTGCG", 1) and got[1].cdr3_nt is None

@@ -236,3 +236,33 @@ def test_read_processing(spark):
     pairs = spark.createDataFrame([(whole[:16], whole[6:]), ("AAAAAAAAAAAA", "AAAAAAAAAAAA")], "x string, y string").withColumn("y", reverse_complement("y"))
     got = [r.merged for r in annotate.merge_pairs(pairs, "x", "y", least=10).collect()]
     assert got == [whole, "AAAAAAAAAAAA"]
+
+
+def test_reference_rows_and_imgt(spark):
+    df = spark.createDataFrame([("CARDW", "AR", "IGHV1", "IGHJ1"), ("", "AR", "IGHV1", ""), ("C*R", "R", "IGHV1", ""), ("CXZ1", "C", "IGHV1", ""), ("CAR", None, "IGHV1", ""), ("CAR", "QQ", "IGHV1", ""), ("CAR", "A", "X", "Y")], "ABSEQ string, cdr string, VGENES string, JGENES string")
+    good, counts = annotate.filter_reference_rows(df, ["cdr"])
+    assert [r.RECOMBINATIONTYPE for r in good.collect()] == ["VDJ"]
+    assert {r.reason: r.counts for r in counts.collect()} == dict.fromkeys(["passed", "missing_seq", "has_stop_codons", "unk_chars", "missing_cdr", "cdr_not_in_frame", "unk_recomb"], 1)
+    imgt = spark.createDataFrame([("95.5", "190/200 nt", "100 (98)", "-", "7", "-")], "`V-REGION identity %_1` string, `V-REGION identity nt_1` string, `V-REGION Nb of AA_9` string, `CDR3-IMGT Nb of AA_9` string, `V-REGION Nb of AA changes_9` string, `CDR3-IMGT Nb of AA changes_9` string")
+    row = annotate.imgt_mutations(imgt).first()
+    assert (row.V_shm_percent, row.V_shm, row.J_shm, row.V_shm_aa, row.V_shm_aa_percent) == (4.5, 10, None, 7.0, 7.0)
+
+
+def test_external_aligner(spark):
+    df = spark.createDataFrame([("a", "ACGT"), ("b", "GG"), ("c", None)], "h string, s string")
+    out = annotate.run_external(df, ["awk", '/^>/{h=substr($0,2)} !/^>/{print h"\\t"length($0)}'], "h", "s", ["id", "n", "none"])
+    assert sorted((r.id, r.n, r.none) for r in out.collect()) == [("a", "4", ""), ("b", "2", "")]
+
+
+def test_pipelines(spark):
+    from quillon import pipelines
+
+    heavy, light = "TGTGCGAGAGATTGG", "TGTCAACAGTTT"
+    rows = [(f"M:1:F:1:1101:{i}:20 {k}:N:0", s, a, v, j, "1") for i in range(3) for k, s, a, v, j in ((1, heavy, "CARDW", "IGHV1", "IGHJ1"), (2, light, "CQQF", "IGKV1", "IGKJ1"))]
+    out = pipelines.pairing_pipeline(spark.createDataFrame(rows, "header string, cdr3_nt string, cdr3_aa string, vgene string, jgene string, shm string"))
+    assert out["reads"].count() == 6 and {r.dominance for r in out["reads"].collect()} == {100}
+    whole = "ACGTTGCAAGGCTTACGATTGCCA"
+    a = spark.createDataFrame([("r 1", whole[:16], "I" * 16)], "header string, sequence string, quality string")
+    b = spark.createDataFrame([("r 2", whole[6:], "I" * 18)], "header string, sequence string, quality string").withColumn("sequence", reverse_complement("sequence"))
+    assert pipelines.prepare_paired(a, b).first().sequence == whole
+    assert pipelines.prepare_single(a, min_length=5).count() == 1
