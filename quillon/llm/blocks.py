@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Bytes of text for each bucket of a packed shuffle.
-BUCKET_BYTES = 16 << 20
+BUCKET_BYTES = 8 << 20
 
 
 def buckets(docs: DataFrame) -> int:

@@ -12,8 +12,9 @@
 4. Each chunk's texts are reassembled from its word numbers and its words' ids.
    A chunk has a bounded size, so this is a bounded group.
 
-Word lists, numbers and ids travel as compressed blocks.  Step 1 is staged, so
-that both the words and the numbers come from one committed attempt.  Decoding
+Word lists and ids travel as compressed blocks.  Step 1 is staged in buckets of
+chunks, so that both the words and the numbers come from one committed attempt,
+and the numbers wait for their ids where they are.  Decoding
 looks every id up in the token-byte table, which has the fixed size of the
 vocabulary.
 
@@ -34,17 +35,22 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .blocks import buckets, squeeze, squeeze_strings, unsqueeze, unsqueeze_strings
-from .common import staged, table
+from .common import fresh, staged_by, table
 
 CHUNK_BYTES = 24 << 20  # of characters, of one chunk of texts
 
 
+BLOCK_WORDS = 1 << 19  # word numbers in one compressed block
+WORDS, ORDER, NUMBERS, TEXTS = range(4)  # kinds of staged rows
+
+
 def default_vocabulary() -> tuple[str, str]:
     """Path and pre-token pattern of the installed vocabulary."""
     import public_tokenizers
@@ -108,7 +114,7 @@ def _encode_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 def _cutter(pattern: str, at: int, names: list[str], n_buckets: int):
     """Texts to chunks: word lists by bucket, the order of word numbers, and the texts' numbers."""
-    columns = ["chunk", "bucket", "block", "places", *names]
+    columns = ["chunk", "kind", "nr", "block", *names]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find = regex.compile(pattern).findall
@@ -119,7 +125,7 @@ def _cutter(pattern: str, at: int, names: list[str], n_buckets: int):
         size = 0
 
         def rows(n: int, **given) -> pa.RecordBatch:
-            types = {"chunk": pa.string(), "bucket": pa.int32(), "block": pa.binary(), "places": pa.binary(), **dict(zip(names, kinds))}
+            types = {"block": pa.binary(), **dict(zip(names, kinds))}
             return pa.RecordBatch.from_arrays([given[c] if c in given else pa.nulls(n, types[c]) for c in columns], columns)
 
         def flush() -> Iterator[pa.RecordBatch]:
@@ -135,18 +141,27 @@ def _cutter(pattern: str, at: int, names: list[str], n_buckets: int):
             place = np.empty(len(words), dtype=np.uint32)
             place[order] = np.arange(len(words), dtype=np.uint32)
             back = place[by_count]
-            yield rows(1, chunk=pa.array([chunk]), block=pa.array([squeeze(back)], pa.binary()))
+            own = lambda kind, n: {"chunk": pa.array([chunk] * n), "kind": pa.array([kind] * n, pa.int32())}
+            yield rows(1, **own(ORDER, 1), nr=pa.array([0], pa.int32()), block=pa.array([squeeze(back)], pa.binary()))
             ends = np.flatnonzero(np.diff(where[order], append=-1)) + 1
             lists = [(int(where[order[a]]), squeeze_strings([words[i] for i in order[a:b]])) for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())] if words else []
             for i in range(0, len(lists), 2000):
                 part = lists[i : i + 2000]
-                yield rows(len(part), chunk=pa.array([chunk] * len(part)), bucket=pa.array([b for b, _ in part], pa.int32()), block=pa.array([x for _, x in part], pa.binary()))
+                yield rows(len(part), **own(WORDS, len(part)), nr=pa.array([b for b, _ in part], pa.int32()), block=pa.array([x for _, x in part], pa.binary()))
+            start = 0
+            while start < len(texts):
+                stop, n = start, 0
+                while stop < len(texts) and (stop == start or n < BLOCK_WORDS):
+                    n += len(texts[stop])
+                    stop += 1
+                block = squeeze(np.array([len(t) for t in texts[start:stop]], dtype=np.uint32), rank[np.concatenate(texts[start:stop])])
+                yield rows(1, **own(NUMBERS, 1), nr=pa.array([start], pa.int32()), block=pa.array([block], pa.binary()))
+                start = stop
             done = 0
             for cols in rest:
                 n = len(cols[0]) if cols else len(texts)
-                blocks = [squeeze(rank[t]) for t in texts[done : done + n]]
+                yield rows(n, **own(TEXTS, n), nr=pa.array(range(done, done + n), pa.int32()), **dict(zip(names, cols)))
                 done += n
-                yield rows(n, chunk=pa.array([chunk] * n), places=pa.array(blocks, pa.binary()), **dict(zip(names, cols)))
             number.clear()
             texts.clear()
             rest.clear()
@@ -197,7 +212,8 @@ def _encode_bucket(path: str):
 def encode(docs: DataFrame, path: str | None = None, pattern: str | None = None, finish=None, fields: str = "ids binary") -> DataFrame:
     """The columns of ``docs`` without text, and ``fields`` of each text.
 
-    By default that is ``ids``: little-endian unsigned 32-bit ids.  ``finish``
+    By default that is ``ids``: little-endian unsigned 32-bit ids; names that
+    ``docs`` has already get a leading underscore.  ``finish``
     may map a text's id array and the token-byte table to other values.
     """
     if path is None or pattern is None:
@@ -206,29 +222,30 @@ def encode(docs: DataFrame, path: str | None = None, pattern: str | None = None,
     rest = [f"c{i}" for i, c in enumerate(docs.columns) if i != at]
     kinds = [f for i, f in enumerate(docs.schema.fields) if i != at]
     kept = T.StructType([T.StructField(n, f.dataType) for n, f in zip(rest, kinds)])
-    cut_schema = T.StructType([*T.StructType.fromDDL("chunk string, bucket int, block binary, places binary").fields, *kept])
+    cut_schema = T.StructType([*T.StructType.fromDDL("chunk string, kind int, nr int, block binary").fields, *kept])
     source = docs.select(*[F.col(f"`{c}`").alias("text" if i == at else f"c{i}") for i, c in enumerate(docs.columns)])
-    parts = staged(source.mapInArrow(_cutter(pattern, at, rest, buckets(docs)), cut_schema), "bpe")
+    n = buckets(docs)
+    parts = staged_by(source.mapInArrow(_cutter(pattern, at, rest, n), cut_schema), "bpe", "chunk", n)
 
-    asked = parts.filter("bucket is not null").select("chunk", "bucket", "block")
-    answers = asked.groupBy("bucket").applyInArrow(_encode_bucket(path), "chunk string, bucket int, block binary")
-    texts = parts.filter("bucket is null").select(F.col("chunk").alias("chunk"), "block", "places", *rest)
+    asked = parts.filter(F.col("kind") == WORDS).select("chunk", F.col("nr").alias("bucket"), "block")
+    answers = asked.select(F.col("chunk").alias("chunk"), "bucket", "block").groupBy("bucket").applyInArrow(_encode_bucket(path), "chunk string, bucket int, block binary")
+    texts = parts.filter(F.col("kind") != WORDS)
     finish = finish or (lambda ids, table: (ids.tobytes(),))
     added = T.StructType.fromDDL(fields)
 
     def put_together(key, texts: pa.Table, answers: pa.Table) -> pa.Table:
         tokens = _tokens(path)
-        blocks = texts["block"].to_pylist()
-        (back,), _ = unsqueeze(next(x for x in blocks if x is not None))
-        texts = texts.filter(pa.array([x is None for x in blocks]))
+        parts = sorted(zip(texts["kind"].to_pylist(), texts["nr"].to_pylist(), texts["block"].to_pylist()), key=lambda x: x[:2])
+        (back,), _ = unsqueeze(next(b for k, _, b in parts if k == ORDER))
+        numbers = [unsqueeze(b)[0] for k, _, b in parts if k == NUMBERS]
+        texts = texts.filter(pc.equal(texts["kind"], TEXTS)).sort_by("nr")
         got = [unsqueeze(x)[0] for x in answers.sort_by("bucket")["block"].to_pylist()]
         sizes = np.concatenate([s for s, _ in got] or [np.zeros(0, np.uint32)]).astype(np.int64)
         coded = np.concatenate([i for _, i in got] or [np.zeros(0, np.uint32)])
         first = np.concatenate(([0], np.cumsum(sizes)))[:-1][back]
         sizes = sizes[back]
         rows = []
-        for p in texts["places"].to_pylist():
-            (nr,), _ = unsqueeze(p)
+        for nr in (x for lengths, flat in numbers for x in np.split(flat, np.cumsum(lengths, dtype=np.int64)[:-1])):
             n = sizes[nr]
             start = np.repeat(first[nr] - np.concatenate(([0], np.cumsum(n)[:-1])), n) if len(nr) else np.zeros(0, np.int64)
             rows.append(finish(coded[start + np.arange(len(start))], tokens))
@@ -237,7 +254,8 @@ def encode(docs: DataFrame, path: str | None = None, pattern: str | None = None,
 
     out = texts.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(put_together, T.StructType([*kept, *added]))
     names = dict(zip(rest, (f.name for f in kinds)))
-    return out.select(*[F.col(n).alias(names[n]) for n in rest], *added.names)
+    taken = [f.name for f in kinds]
+    return out.select(*[F.col(n).alias(names[n]) for n in rest], *[F.col(n).alias(fresh(n, taken)) for n in added.names])
 
 
 def _arrow(field: T.StructField) -> pa.DataType:

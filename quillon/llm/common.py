@@ -55,6 +55,21 @@ def staged(df: DataFrame, label: str, codec: str = "zstd") -> DataFrame:
     return back
 
 
+def staged_by(df: DataFrame, label: str, by: str, n: int, codec: str = "zstd") -> DataFrame:
+    """As ``staged``, in ``n`` buckets of ``by``: grouping by it later moves none of these rows.
+
+    Meant for rows of which a task writes few values of ``by``, so few files.
+    """
+    spark = df.sparkSession
+    name = f"quillon_{label}_{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/{name}"
+    df.write.bucketBy(n, by).option("compression", codec).option("path", path).format("parquet").saveAsTable(name)
+    back = spark.table(name)
+    back._quillon_path = path
+    spark.sql(f"drop table {name}")  # its entry in the catalog; files outside the warehouse stay
+    return back
+
+
 def discard(*frames: DataFrame) -> None:
     """Delete staged tables that no returned frame reads any more."""
     for df in frames:
