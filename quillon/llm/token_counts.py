@@ -46,12 +46,16 @@ class Counter:
         self.ranks = load_ranks(path)
         self.pattern = regex.compile(pattern)
         self.known: dict[str, int] = {}
+        self.older: dict[str, int] = {}
 
     def count(self, word: str) -> int:
         n = self.known.get(word)
         if n is None:
-            n = len(encode_word(word.encode(), self.ranks))
-            if len(self.known) >= _CACHE:
+            n = self.older.get(word)
+            if n is None:
+                n = len(encode_word(word.encode(), self.ranks))
+            if len(self.known) >= _CACHE:  # words not seen since the last turn are forgotten
+                self.older = self.known.copy()
                 self.known.clear()
             self.known[word] = n
         return n
