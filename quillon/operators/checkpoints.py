@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame
@@ -11,5 +13,9 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` with its lineage cut; a folder of our own is set only where ``spark.checkpoint.dir`` is unset."""
     sc = df.sparkSession.sparkContext
     if not sc.getCheckpointDir():
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="quillon-"))
+        path = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not path:
+            path = tempfile.mkdtemp(prefix="quillon-")
+            atexit.register(shutil.rmtree, path, ignore_errors=True)
+        sc.setCheckpointDir(path)
     return df.checkpoint(eager=True)

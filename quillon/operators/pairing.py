@@ -116,6 +116,29 @@ def merge_reads(df: DataFrame, keys: Sequence[str], reads: str | None, tag: str,
     return df.groupBy(*keys).agg(*[F.min_by(c, F.struct(*order)).alias(c) for c in first], n.cast("long").alias("reads"), F.array_join(F.array_sort(F.collect_set(tag)), "|").alias("tags"))
 
 
+def cluster_summary(members: DataFrame, collapsed: DataFrame, member: str, genes: Sequence[str] = ()) -> DataFrame:
+    """Per centroid: size, counts, dominance, confidence, the seed's genes, and mean and deviation of all members.
+
+    ``members(member, counts, centroid)`` come from clustering, ``collapsed``
+    has each member's moments n, s1, s2.
+    """
+    whole = members.join(collapsed.select(member, "n", "s1", "s2"), member)
+    mean, sd = mean_and_sd()
+    merged = merge_moments(whole, ["centroid"]).select("centroid", mean.alias("mean"), sd.alias("sd"))
+    out = dominance(members, "centroid", member, "counts").join(merged, "centroid", "left")
+    seeds = collapsed.select(F.col(member).alias("seed"), *[f"{g}_mode" for g in genes])
+    return out.join(seeds, "seed", "left") if genes else out
+
+
+def summary(out: dict[str, DataFrame]) -> DataFrame:
+    """One row of metrics of ``run_pairing``."""
+    reads = out["funnel"].agg(F.sum("counts").alias("reads"), F.sum(F.when(F.col("reason") == "passed", F.col("counts"))).alias("passed"))
+    pairs = out["pairs"].agg(F.count("*").alias("n"), *[F.count_if(F.col("note") == n).alias(f"_{i}") for i, n in enumerate((PAIRED, HEAVY, LIGHT, RECEPTOR, LONE))])
+    names = ("paired", "heavy_overlap", "light_overlap", "receptor_mismatch", "unpaired")
+    unique = out["collapsed"].agg(F.count("*"))
+    return reads.withColumns({**{n: pairs.select(f"_{i}").scalar() for i, n in enumerate(names)}, "unique_pairs": unique.scalar()})
+
+
 def run_pairing(rows: DataFrame, extra: Sequence[str] = ()) -> dict[str, DataFrame]:
     """The pairing analysis: funnel, pairs, pair statistics, and pairs collapsed by both CDR3s."""
     ready = prepare_reads(rows)

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import fnmatch
+import io
 import json
+import tarfile
+import zipfile
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
@@ -204,3 +208,40 @@ def read_for_reference(df: DataFrame, renames: dict[str, str], reads: str = "REA
     out = df.withColumnsRenamed(renames)
     out = out.withColumn(reads, F.coalesce(F.col(reads).try_cast("long"), F.lit(1)) if reads in out.columns else F.lit(1).cast("long"))
     return out.na.fill("")
+
+
+def read_archive(spark: SparkSession, path, members: str = "*") -> DataFrame:
+    """(archive, member, line) of the text files in zip and tar archives whose names match ``members``.
+
+    An archive is opened by one task and read member by member, line by line.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for name, content in zip(b["path"], b["content"]):
+                for member, stream in _members(bytes(content), members):
+                    lines: list[str] = []
+                    for line in io.TextIOWrapper(stream, encoding="utf-8", errors="replace"):
+                        lines.append(line.rstrip("\r\n"))
+                        if len(lines) == 10_000:
+                            yield pd.DataFrame({"archive": name, "member": member, "line": lines})
+                            lines = []
+                    if lines:
+                        yield pd.DataFrame({"archive": name, "member": member, "line": lines})
+
+    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(run, "archive string, member string, line string")
+
+
+def _members(content: bytes, pattern: str):
+    data = io.BytesIO(content)
+    if zipfile.is_zipfile(data):
+        with zipfile.ZipFile(data) as z:
+            for info in z.infolist():
+                if not info.is_dir() and fnmatch.fnmatch(info.filename, pattern):
+                    yield info.filename, z.open(info)
+        return
+    data.seek(0)
+    with tarfile.open(fileobj=data) as t:
+        for info in t:
+            if info.isfile() and fnmatch.fnmatch(info.name, pattern):
+                yield info.name, t.extractfile(info)

@@ -98,3 +98,18 @@ def test_streams(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert spark.read.parquet(f"{tmp_path}/out").count() == source.count()
+
+
+def test_archives(spark, tmp_path):
+    import tarfile
+    import zipfile
+
+    (tmp_path / "a.txt").write_text("one\ntwo\n")
+    with zipfile.ZipFile(tmp_path / "x.zip", "w") as z:
+        z.write(tmp_path / "a.txt", "in/a.txt")
+        z.writestr("b.csv", "no")
+    with tarfile.open(tmp_path / "y.tar.gz", "w:gz") as t:
+        t.add(tmp_path / "a.txt", "a.txt")
+    for name, member in (("x.zip", "in/a.txt"), ("y.tar.gz", "a.txt")):
+        got = [(r.member, r.line) for r in readers.read_archive(spark, f"{tmp_path}/{name}", "*.txt").collect()]
+        assert got == [(member, "one"), (member, "two")]

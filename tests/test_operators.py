@@ -266,3 +266,13 @@ def test_pipelines(spark):
     b = spark.createDataFrame([("r 2", whole[6:], "I" * 18)], "header string, sequence string, quality string").withColumn("sequence", reverse_complement("sequence"))
     assert pipelines.prepare_paired(a, b).first().sequence == whole
     assert pipelines.prepare_single(a, min_length=5).count() == 1
+
+
+def test_cluster_summary_and_report(spark):
+    members = spark.createDataFrame([("a", 6, "a"), ("b", 3, "a"), ("c", 1, "c")], "m string, counts long, centroid string")
+    collapsed = spark.createDataFrame([("a", 2, 3.0, 5.0, "V1"), ("b", 1, 3.0, 9.0, "V2"), ("c", 0, 0.0, 0.0, "V3")], "m string, n long, s1 double, s2 double, v_mode string")
+    got = {r.centroid: (r.size, r.dominance, r.confidence, r.v_mode, r["mean"], r.sd) for r in pairing.cluster_summary(members, collapsed, "m", ["v"]).collect()}
+    assert got == {"a": (2, 66, 50, "V1", 2.0, 1.0), "c": (1, 100, 100, "V3", None, None)}
+    rows = [("M:1:F:1:1101:1:20 1:N:0", "TGTGCGAGAGATTGG", "CARDW", "IGHV1", "IGHJ1", "1"), ("", "TGT", "C", "IGHV1", "IGHJ1", "1")]
+    report = pairing.summary(pairing.run_pairing(spark.createDataFrame(rows, "header string, cdr3_nt string, cdr3_aa string, vgene string, jgene string, shm string"))).first()
+    assert (report.reads, report.passed, report.paired, report.unpaired, report.unique_pairs) == (2, 1, 0, 1, 0)
