@@ -1,7 +1,7 @@
 """Edit-aware token counts by pre-token segment trees.
 
-A document's pre-tokens are grouped into segments of about ``SEGMENT``; a
-segment tree over the segments holds, for every subtree, its characters and its
+A document's pre-tokens are counted once, and with its first edit they are
+grouped into segments of about ``SEGMENT``; a segment tree over the segments holds, for every subtree, its characters and its
 tokens.  An edit replaces a range of characters.  The tree finds the first
 segment it touches; only from the last pre-token boundary that the edit cannot
 influence (``MARGIN`` characters before it, the furthest any pattern
@@ -67,11 +67,19 @@ class TokenTree:
     def __init__(self, text: str, counter: Counter):
         self.text, self.counter = text, counter
         self.encoded = 0
-        find, known, count = counter.pattern.findall, counter.known, counter.count
-        leaves = []
-        for w in find(text):
-            n = known.get(w)
-            leaves.append((len(w), count(w) if n is None else n))
+        words = counter.pattern.findall(text)
+        counts = list(map(counter.known.get, words))
+        if None in counts:
+            count = counter.count
+            counts = [count(w) if n is None else n for w, n in zip(words, counts)]
+        self._leaves = words, counts
+        self._sum = sum(counts)
+
+    def _grow(self) -> None:
+        """Build the tree, with the first edit."""
+        words, counts = self._leaves
+        self._leaves = None
+        leaves = list(zip(map(len, words), counts))
         self._build([leaves[i : i + SEGMENT] for i in range(0, len(leaves), SEGMENT)] or [[]])
 
     def _build(self, segments: list[list[tuple[int, int]]]) -> None:
@@ -93,7 +101,7 @@ class TokenTree:
 
     @property
     def total(self) -> int:
-        return self.tokens[1]
+        return self._sum if self._leaves is not None else self.tokens[1]
 
     def _find(self, at: int) -> tuple[int, int]:
         """The segment that holds character ``at`` (or the last), and its first character."""
@@ -106,6 +114,8 @@ class TokenTree:
         return i - self.size, start
 
     def edit(self, start: int, stop: int, text: str) -> None:
+        if self._leaves is not None:
+            self._grow()
         n = len(self.text)
         start = min(max(start, 0), n)
         stop = min(max(stop, start), n)
