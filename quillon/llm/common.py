@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -19,6 +21,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _own_folder() -> str:
+    path = tempfile.mkdtemp(prefix="quillon-checkpoint-")
+    atexit.register(shutil.rmtree, path, ignore_errors=True)
+    return path
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder for intermediate tables that driver and executors share.
 
@@ -28,7 +36,7 @@ def shared_dir(spark: SparkSession) -> str:
     conf = spark.conf.get("spark.checkpoint.dir", None)
     if not conf:
         held = spark.sparkContext.getCheckpointDir()
-        conf = held or tempfile.mkdtemp(prefix="quillon-checkpoint-")
+        conf = held or _own_folder()
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(conf)
     return conf

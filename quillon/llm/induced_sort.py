@@ -123,14 +123,15 @@ class _Minima:
         return min(got[1], self.low[i]) if i < len(self.low) else got[1]
 
 
+_LOGS = np.concatenate(([0], np.floor(np.log2(np.arange(1, _BLOCK + 1))).astype(np.int64)))
+
+
 def _range_min(lcp: np.ndarray):
     levels = [lcp]
     while 2 << (len(levels) - 1) <= len(lcp):
         a, half = levels[-1], 1 << (len(levels) - 1)
         levels.append(np.minimum(a[:-half], a[half:]))
-    logs = np.zeros(len(lcp) + 1, dtype=np.int64)
-    if len(lcp) > 1:
-        logs[1:] = np.floor(np.log2(np.arange(1, len(lcp) + 1))).astype(np.int64)
+    logs = _LOGS
     flat = np.concatenate(levels)
     starts = np.concatenate(([0], np.cumsum([len(x) for x in levels])))[:-1]
 
@@ -151,7 +152,8 @@ class InducedSort:
         up = np.concatenate((text[change] < text[change + 1], [True]))
         sizes = np.diff(np.concatenate(([-1], ends)))
         self.small = np.repeat(up, sizes)
-        self.run_end = np.repeat(ends, sizes)
+        self.kind = np.int32 if len(text) < 1 << 31 else np.int64
+        self.run_end = np.repeat(ends.astype(self.kind), sizes)
         self.lms = np.flatnonzero(self.small[1:] & ~self.small[:-1]) + 1
         self.symbols = np.unique(text).tolist()
 
@@ -177,12 +179,16 @@ class InducedSort:
                 start = np.concatenate(([0], at[:-1] + 1))
                 start[new] = 0
                 common = np.minimum(query(start, at), self.cap) + 1
-                for a, b, c in zip(new.tolist(), stop.tolist(), s[new].tolist()):
+                heads = common[new].tolist()
+                tails = at[stop - 1] + 1
+                after = np.full(len(tails), _FAR)
+                rest = tails < len(lcp)
+                after[rest] = query(tails[rest], np.full(int(rest.sum()), len(lcp) - 1))
+                for i, (c, low) in enumerate(zip(s[new].tolist(), after.tolist())):
                     since = minima.since(c)
-                    common[a] = 0 if since is None else min(int(common[a]), since + 1)
-                    tail = int(at[b - 1]) + 1
-                    low = int(query(np.array([tail]), np.array([len(lcp) - 1]))[0]) if tail < len(lcp) else int(_FAR)
+                    heads[i] = 0 if since is None else min(heads[i], since + 1)
                     minima.last[c] = block, low
+                common[new] = heads
                 common = common.astype(np.int32)
             for a, b, c in zip(new.tolist(), stop.tolist(), s[new].tolist()):
                 out.push(c, before[at[a:b]], common[a:b])
@@ -270,7 +276,7 @@ class InducedSort:
                 pos = pos[::-1]
                 parts.append(pos[is_lms[pos]])
         order = np.concatenate(parts)
-        size = np.zeros(len(self.text), dtype=np.int64)
+        size = np.zeros(len(self.text), dtype=self.kind)
         size[lms] = np.diff(np.concatenate((lms, [len(self.text) - 1]))) + 1
         a, b = order[:-1], order[1:]
         live = np.flatnonzero(size[a] == size[b])
@@ -283,16 +289,18 @@ class InducedSort:
             differ[live[~same]] = True
             live = live[same]
             k += 1
+        del size, large, small
         names = np.concatenate(([0], np.cumsum(differ)))
         if names[-1] == len(order) - 1:
             return order
-        number = np.zeros(len(self.text), dtype=np.int64)
+        number = np.zeros(len(self.text), dtype=self.kind)
         number[order] = names
         reduced = number[lms]
         if 24 * len(reduced) <= self.ram:
-            return lms[_in_memory(reduced, self.cap)]
-        del number, names, large, small
-        inner = InducedSort(reduced.astype(np.uint32), self.cap, self.ram)
+            # Each name stands for two symbols or more.
+            return lms[_in_memory(reduced, self.cap // 2 + 1)]
+        del number, names
+        inner = InducedSort(reduced.astype(np.uint32), self.cap // 2 + 1, self.ram)
         return lms[np.concatenate([pos for pos, _ in inner.suffixes()])]
 
     def suffixes(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -324,7 +332,7 @@ def _in_memory(names: np.ndarray, cap: int) -> np.ndarray:
         ahead = np.zeros(n, dtype=np.int64)
         ahead[: n - step] = rank[step:] + 1
         key = rank * (n + 2) + ahead
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)  # equal keys get one rank, so their order is free
         sorted_ = key[order]
         fresh = np.concatenate(([0], np.cumsum(sorted_[1:] != sorted_[:-1])))
         rank = np.empty(n, dtype=np.int64)

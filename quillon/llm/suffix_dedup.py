@@ -43,13 +43,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .blocks import buckets, squeeze, unsqueeze
-from .common import doc_text, staged, table
+from .common import doc_text, table
 from .induced_sort import RAM, InducedSort
 
 LENGTH = 50
 K = 19
-CHUNK_ROWS = 3_000_000
+CHUNK_ROWS = 800_000
 _PIECE = 1 << 20
+BATCH = 1 << 20  # bytes of pieces sorted at a time
 _ODD = 0x9E3779B97F4A7C15
 _INVERSE = pow(_ODD, -1, 1 << 64)
 _powers: list[np.ndarray] = []
@@ -122,7 +123,7 @@ def _chunks(n_buckets: int, length: int, k: int):
             yield _dealt(1, _bucket_of(d[told], n_buckets), h[told], d[told])
 
         for b in batches:
-            for doc, text in zip(b["doc_id"].to_pylist(), b["text"].to_pylist()):
+            for doc, text in zip(b["doc_id"].to_pylist(), (t.as_py() for t in b["text"])):
                 if doc is None or text is None or len(text) < length:
                     continue
                 got = np.unique(anchors(text, length, k)[0])
@@ -185,126 +186,163 @@ def _answer(n_buckets: int):
     return run
 
 
-class _Bucket:
-    """The documents of one bucket, cut into the pieces that may repeat."""
-
-    def __init__(self, texts: pa.Table, notes: list[bytes], n_shards: int, length: int, k: int):
-        got = [unsqueeze(b)[0] for b in notes]
-        h = np.concatenate([a for a, _ in got] or [np.zeros(0, np.uint64)])
-        d = np.concatenate([b for _, b in got] or [np.zeros(0, np.uint64)]).view(np.int64)
-        order = np.lexsort((h, d))
-        self.h, self.d = h[order], d[order]
-        self.length, self.k = length, k
-        self.docs = texts["doc_id"].to_pylist()
-        self.texts = texts["text"].to_pylist()
-        unzip = zstandard.ZstdDecompressor().decompress
-        self.number: dict[bytes, int] = {}
-        low: list[int] = []
-        shard: list[int] = []
-        self.runs = []
-        for doc, packed in zip(self.docs, self.texts):
-            numbers, at, sizes = [], np.zeros(0, np.int64), np.zeros(0, np.int64)
-            a, z = (np.searchsorted(self.d, doc, side) for side in ("left", "right")) if doc is not None else (0, 0)
-            if z > a:
-                text = unzip(packed)
-                hashes, starts = anchors(text, length, k)
-                known = self.h[a:z]
-                hit = np.flatnonzero(known[np.minimum(np.searchsorted(known, hashes), len(known) - 1)] == hashes)
-                at, sizes = starts[hit], starts[hit + 1] - starts[hit]
-                number = self.number
-                for s, n, gram in zip(at.tolist(), sizes.tolist(), hashes[hit].tolist()):
-                    piece = text[s : s + n + length - 1]
-                    i = number.get(piece)
-                    if i is None:
-                        i = number[piece] = len(low)
-                        low.append(doc)
-                        shard.append(gram % n_shards)
-                    elif doc < low[i]:
-                        low[i] = doc
-                    numbers.append(i)
-            self.runs.append((np.array(numbers, dtype=np.int64), at, sizes))
-        pieces = list(self.number)
-        order = sorted(range(len(pieces)), key=lambda i: (shard[i], pieces[i]))
-        self.place = np.empty(len(pieces), dtype=np.int64)
-        self.place[order] = np.arange(len(pieces))
-        self.pieces = [pieces[i] for i in order]
-        self.low = np.array([low[i] for i in order], dtype=np.int64)
-        self.shard = np.array([shard[i] for i in order], dtype=np.int64)
-
-    def asked(self, bucket: int) -> pa.Table:
-        first = np.flatnonzero(np.concatenate(([True], self.shard[1:] != self.shard[:-1]))).tolist() if len(self.shard) else []
-        blocks, shards = [], []
-        for a, z in zip(first, [*first[1:], len(self.shard)]):
-            sizes = np.array([len(p) for p in self.pieces[a:z]], dtype=np.uint32)
-            blocks.append(squeeze(sizes, self.low[a:z].view(np.uint64), tail=b"".join(self.pieces[a:z])))
-            shards.append(int(self.shard[a]))
-        return pa.table({"shard": pa.array(shards, pa.int64()), "bucket": pa.array([bucket] * len(shards), pa.int64()), "block": pa.array(blocks, pa.binary())})
-
-    def removed(self, answers: list[tuple[int, bytes]]) -> Iterator[tuple[int | None, bytes, np.ndarray]]:
-        """doc_id, text, and the bounds of the removed runs of each document."""
-        least = np.concatenate([unsqueeze(b)[0][0] for _, b in sorted(answers)] or [np.zeros(0, np.uint64)]).view(np.int64)
-        windows = np.array([len(p) for p in self.pieces], dtype=np.int64) - self.length + 1
-        first = np.concatenate(([0], np.cumsum(windows)))
-        if first[-1] != len(least):
-            raise RuntimeError("a shard's answer is missing")
-        unzip = zstandard.ZstdDecompressor().decompress
-        for doc, packed, (numbers, at, sizes) in zip(self.docs, self.texts, self.runs):
-            text = unzip(packed)
-            bounds = np.zeros((0, 2), dtype=np.int64)
-            if len(numbers):
-                start = first[self.place[numbers]]
-                step = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-                lower = least[np.repeat(start, sizes) + step] < doc
-                gone = (np.repeat(at, sizes) + step)[lower]
-                if len(gone):
-                    new = np.flatnonzero(np.concatenate(([True], gone[1:] > gone[:-1] + self.length)))
-                    bounds = np.stack((gone[new], gone[np.concatenate((new[1:] - 1, [len(gone) - 1]))] + self.length), axis=1)
-            yield doc, text, bounds
-
-
-def shard_minima(blocks: list[tuple[np.ndarray, np.ndarray, bytes]], length: int = LENGTH, ram: int = RAM) -> list[np.ndarray]:
-    """For each block of (sizes, doc_ids, joined pieces): the smallest doc_id with each window, in order."""
-    total = sum(len(data) for _, _, data in blocks)
-    unique: dict[bytes, int] | None = {} if total <= 2 * ram else None
-    starts: list[np.ndarray] = []
-    if unique is not None:  # equal pieces are sorted once where they fit in memory
-        low: list[int] = []
-        where = []
-        for sizes, docs, data in blocks:
-            ends = np.cumsum(sizes, dtype=np.int64).tolist()
-            own = []
-            for a, z, doc in zip([0, *ends], ends, docs.tolist()):
-                i = unique.setdefault(data[a:z], len(low))
-                if i == len(low):
-                    low.append(doc)
-                elif doc < low[i]:
-                    low[i] = doc
-                own.append(i)
-            where.append(np.array(own, dtype=np.int64))
-        sizes = np.array([len(p) for p in unique], dtype=np.int64)
-        data = b"".join(unique)
-        blocks_in = [(sizes, np.array(low, dtype=np.int64), data)]
-    else:
-        blocks_in = blocks
-    n_pieces = sum(len(s) for s, _, _ in blocks_in)
-    n = sum(len(d) for _, _, d in blocks_in) + n_pieces + 1
-    text, owner = _scratch(n, np.uint16, ram), _scratch(n, np.int64, ram)
+def _in_order(texts: pa.Table) -> list[tuple[int | None, bytes]]:
+    """doc_id and compressed text of a bucket's rows, in an order that does not depend on arrival."""
+    rows = zip(texts["doc_id"].to_pylist(), texts["text"].to_pylist())
+    return sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+
+
+def _pieces(texts: pa.Table, notes: list[bytes], bucket: int, n_shards: int, length: int, k: int) -> pa.Table:
+    """The pieces of a bucket by shard, and under a negative shard where its documents have them."""
+    got = [unsqueeze(b)[0] for b in notes]
+    h = np.concatenate([a for a, _ in got])
+    d = np.concatenate([b for _, b in got]).view(np.int64)
+    order = np.lexsort((h, d))
+    h, d = h[order], d[order]
+    del got, order
+    unzip = zstandard.ZstdDecompressor().decompress
+    number: dict[bytes, int] = {}
+    low: list[int] = []
+    gram_of: list[int] = []
+    counts: list[int] = []
+    numbers: list[int] = []
+    places: list[np.ndarray] = []
+    widths: list[np.ndarray] = []
+    for doc, packed in _in_order(texts):
+        a, z = (np.searchsorted(d, doc, side) for side in ("left", "right")) if doc is not None else (0, 0)
+        if z == a:
+            counts.append(0)
+            continue
+        text = unzip(packed)
+        hashes, starts = anchors(text, length, k)
+        known = h[a:z]
+        hit = np.flatnonzero(known[np.minimum(np.searchsorted(known, hashes), len(known) - 1)] == hashes)
+        at, sizes = starts[hit], starts[hit + 1] - starts[hit]
+        counts.append(len(hit))
+        places.append(at.astype(np.uint32))
+        widths.append(sizes.astype(np.uint32))
+        for s, n, gram in zip(at.tolist(), sizes.tolist(), hashes[hit].tolist()):
+            piece = text[s : s + n + length - 1]
+            i = number.get(piece)
+            if i is None:
+                i = number[piece] = len(low)
+                low.append(doc)
+                gram_of.append(gram)
+            elif doc < low[i]:
+                low[i] = doc
+            numbers.append(i)
+    pieces = list(number)
+    del number
+    grams = np.array(gram_of, dtype=np.uint64)
+    shard = grams % np.uint64(n_shards)
+    order = np.lexsort((grams, shard))  # the dictionary's order, which the rows' order fixes, settles ties
+    place = np.empty(len(pieces), dtype=np.uint32)
+    place[order] = np.arange(len(pieces), dtype=np.uint32)
+    grams, shard, lows = grams[order], shard[order], np.array(low, dtype=np.int64)[order]
+    blocks, shards = [], []
+    first = np.flatnonzero(np.diff(shard, prepend=np.uint64(n_shards))).tolist()
+    for start, stop in zip(first, [*first[1:], len(order)]):
+        part = [pieces[i] for i in order[start:stop].tolist()]
+        sizes = np.array([len(p) for p in part], dtype=np.uint32)
+        blocks.append(squeeze(sizes, lows[start:stop].view(np.uint64), np.diff(grams[start:stop], prepend=np.uint64(0)), tail=b"".join(part)))
+        shards.append(int(shard[start]))
+    none = [np.zeros(0, np.uint32)]
+    blocks.append(squeeze(np.array(counts, dtype=np.uint32), place[np.array(numbers, dtype=np.int64)], np.concatenate(places or none), np.concatenate(widths or none)))
+    shards.append(-1 - bucket)
+    return pa.table({"shard": pa.array(shards, pa.int64()), "bucket": pa.array([bucket] * len(shards), pa.int64()), "block": pa.array(blocks, pa.binary())})
+
+
+def _removed(texts: pa.Table, letters: list[tuple[int, bytes]], length: int) -> Iterator[tuple[int | None, bytes, np.ndarray]]:
+    """doc_id, text, and the bounds of the removed runs of each document of a bucket."""
+    unzip = zstandard.ZstdDecompressor().decompress
+    rows = _in_order(texts)
+    none = np.zeros((0, 2), dtype=np.int64)
+    own = [b for s, b in letters if s < 0]
+    if not own:
+        for doc, packed in rows:
+            yield doc, unzip(packed), none
+        return
+    counts, numbers, places, widths = (x.astype(np.int64) for x in unsqueeze(own[0])[0])
+    least = np.concatenate([unsqueeze(b)[0][0] for s, b in sorted(letters) if s >= 0] or [np.zeros(0, np.uint64)]).view(np.int64)
+    windows = np.zeros(int(numbers.max()) + 1 if len(numbers) else 0, dtype=np.int64)
+    windows[numbers] = widths
+    first = np.concatenate(([0], np.cumsum(windows)))
+    if first[-1] != len(least) or len(counts) != len(rows):
+        raise RuntimeError("a shard's answer or a document is missing")
+    ends = np.cumsum(counts)
+    for (doc, packed), a, z in zip(rows, (ends - counts).tolist(), ends.tolist()):
+        bounds = none
+        if z > a:
+            sizes = widths[a:z]
+            step = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            lower = least[np.repeat(first[numbers[a:z]], sizes) + step] < doc
+            gone = (np.repeat(places[a:z], sizes) + step)[lower]
+            if len(gone):
+                new = np.flatnonzero(np.concatenate(([True], gone[1:] > gone[:-1] + length)))
+                bounds = np.stack((gone[new], gone[np.concatenate((new[1:] - 1, [len(gone) - 1]))] + length), axis=1)
+        yield doc, unzip(packed), bounds
+
+
+def _spots(first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places first, first + 1, ... of each of the runs of the given sizes."""
+    return np.repeat(first - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
+
+
+def shard_minima(blocks: list[tuple[np.ndarray, np.ndarray, np.ndarray, bytes]], length: int = LENGTH, ram: int = RAM, batch: int = BATCH) -> list[np.ndarray]:
+    """For each block of (sizes, doc_ids, anchors, joined pieces): the smallest doc_id with each window, in order.
+
+    Equal windows have one anchor.  Where all pieces of an anchor have the same
+    smallest doc_id, it is that of all their windows.  The pieces of the others
+    are sorted, whole anchors together, about ``batch`` bytes at a time; an
+    anchor with more is sorted on its own, on disk if it exceeds ``ram``.
+    """
+    sizes = np.concatenate([s for s, _, _, _ in blocks]).astype(np.int64)
+    docs = np.concatenate([d for _, d, _, _ in blocks])
+    data = b"".join(d for _, _, _, d in blocks)
+    _, group = np.unique(np.concatenate([g for _, _, g, _ in blocks]), return_inverse=True)
+    groups = int(group.max()) + 1
+    low, high = np.full(groups, np.iinfo(np.int64).max), np.full(groups, np.iinfo(np.int64).min)
+    np.minimum.at(low, group, docs)
+    np.maximum.at(high, group, docs)
+    windows = sizes - length + 1
+    answer = np.repeat(low[group], windows)
+    mixed = low < high
+    weight = np.where(mixed, np.bincount(group, weights=sizes, minlength=groups), 0)
+    number = (np.cumsum(weight) - weight) // batch
+    todo = np.flatnonzero(mixed[group])
+    part = number[group[todo]]
+    order = np.argsort(part, kind="stable")
+    todo, part = todo[order], part[order]
+    bounds = np.flatnonzero(np.diff(part, prepend=-1.0)).tolist()
+    begin, first = np.cumsum(sizes) - sizes, np.cumsum(windows) - windows
+    for a, z in zip(bounds, [*bounds[1:], len(todo)]):
+        own = todo[a:z]
+        pieces = [data[i : i + n] for i, n in zip(begin[own].tolist(), sizes[own].tolist())]
+        answer[_spots(first[own], windows[own])] = sorted_minima(pieces, docs[own], length, ram)
+    ends = np.cumsum([int(s.sum()) - (length - 1) * len(s) for s, _, _, _ in blocks])
+    return np.split(answer, ends[:-1])
+
+
+def sorted_minima(pieces: list[bytes], docs: np.ndarray, length: int = LENGTH, ram: int = RAM) -> np.ndarray:
+    """The smallest doc_id with each window of the pieces, by sorting all their suffixes."""
+    where = None
+    if sum(map(len, pieces)) <= ram:  # equal pieces are sorted once where a table of them fits in memory
+        unique: dict[bytes, int] = {}
+        where = np.array([unique.setdefault(p, len(unique)) for p in pieces], dtype=np.int64)
+        low = np.full(len(unique), np.iinfo(np.int64).max)
+        np.minimum.at(low, where, docs)
+        pieces, docs = list(unique), low
+    sizes = np.array([len(p) for p in pieces], dtype=np.int64)
+    windows = sizes - length + 1
+    n = int(sizes.sum()) + len(sizes) + 1
+    text, owner, valid = (_scratch(n, kind, ram) for kind in (np.uint16, np.int64, np.bool_))
+    begin = np.cumsum(sizes + 1) - sizes - 1
     text[:] = 1
     text[n - 1] = 0
-    valid = _scratch(n, np.bool_, ram)
-    at = 0
-    for sizes, docs, data in blocks_in:
-        sizes = sizes.astype(np.int64)
-        ends = np.cumsum(sizes + 1)
-        begin = at + ends - sizes - 1
-        inside = np.repeat(begin - (np.cumsum(sizes) - sizes), sizes) + np.arange(len(data))
-        text[inside] = np.frombuffer(data, dtype=np.uint8).astype(np.uint16) + 2
-        windows = sizes - length + 1
-        spots = np.repeat(begin - (np.cumsum(windows) - windows), windows) + np.arange(int(windows.sum()))
-        valid[spots] = True
-        owner[spots] = np.repeat(docs, windows)
-        starts.append(spots)
-        at += int(ends[-1]) if len(ends) else 0
+    text[_spots(begin, sizes)] = np.frombuffer(b"".join(pieces), dtype=np.uint8).astype(np.uint16) + 2
+    spots = _spots(begin, windows)
+    valid[spots] = True
+    owner[spots] = np.repeat(docs, windows)
     least = owner  # overwritten in place, a group at a time, once the group has been read
     group: list[np.ndarray] = []
     smallest = None
@@ -317,30 +355,28 @@ def shard_minima(blocks: list[tuple[np.ndarray, np.ndarray, bytes]], length: int
         low_since = np.minimum.reduceat(lcp[: ok[-1] + 1], np.concatenate(([0], ok[:-1] + 1)))
         low_since[0] = min(int(low_since[0]), common)
         common = int(lcp[ok[-1] + 1 :].min()) if ok[-1] + 1 < len(lcp) else length
-        spots = np.asarray(pos)[ok]
-        docs = owner[spots]
+        at = np.asarray(pos)[ok]
+        own = owner[at]
         new = np.flatnonzero(low_since < length)
-        head = int(new[0]) if len(new) else len(spots)
+        head = int(new[0]) if len(new) else len(at)
         if head:
-            group.append(spots[:head])
-            smallest = int(docs[:head].min()) if smallest is None else min(smallest, int(docs[:head].min()))
+            group.append(at[:head])
+            smallest = int(own[:head].min()) if smallest is None else min(smallest, int(own[:head].min()))
         if len(new):
             for g in group:
                 least[g] = smallest
             last = int(new[-1])
             if last > head:
-                sizes = np.diff(new)
-                least[spots[head:last]] = np.repeat(np.minimum.reduceat(docs[:last], new[:-1]), sizes)
-            group = [spots[last:]]
-            smallest = int(docs[last:].min())
+                least[at[head:last]] = np.repeat(np.minimum.reduceat(own[:last], new[:-1]), np.diff(new))
+            group = [at[last:]]
+            smallest = int(own[last:].min())
     for g in group:
         least[g] = smallest
-    if unique is None:
-        return [np.array(least[s]) for s in starts]
-    flat = np.array(least[starts[0]])
-    windows = blocks_in[0][0] - length + 1
+    flat = np.array(least[spots])
+    if where is None:
+        return flat
     first = np.cumsum(windows) - windows
-    return [flat[np.repeat(first[w] - (np.cumsum(windows[w]) - windows[w]), windows[w]) + np.arange(int(windows[w].sum()))] for w in where]
+    return flat[_spots(first[where], windows[where])]
 
 
 def _scratch(n: int, kind, ram: int) -> np.ndarray:
@@ -352,8 +388,10 @@ def _scratch(n: int, kind, ram: int) -> np.ndarray:
 
 def _sort_shard(length: int, ram: int):
     def run(asked: pa.Table) -> pa.Table:
+        if asked["shard"][0].as_py() < 0:  # a bucket's places, on their way back to it
+            return asked.select(["bucket", "shard", "block"])
         blocks = [unsqueeze(b) for b in asked["block"].to_pylist()]
-        got = shard_minima([(sizes, docs.view(np.int64), data) for (sizes, docs), data in blocks], length, ram)
+        got = shard_minima([(sizes, docs.view(np.int64), np.cumsum(grams, dtype=np.uint64), data) for (sizes, docs, grams), data in blocks], length, ram)
         answers = [squeeze(x.view(np.uint64)) for x in got]
         return pa.table({"bucket": asked["bucket"], "shard": asked["shard"], "block": pa.array(answers, pa.binary())})
 
@@ -370,7 +408,7 @@ def _packed(docs: DataFrame, n_buckets: int) -> DataFrame:
             ids = b["doc_id"].to_pylist()
             bucket = _bucket_of(np.array([i if i is not None else turn + k for k, i in enumerate(ids)], dtype=np.int64), n_buckets)
             turn += len(ids)
-            texts = [zipper.compress(t or b"") for t in b["text"].to_pylist()]
+            texts = [zipper.compress(t.as_py() or b"") for t in b["text"]]
             yield pa.RecordBatch.from_arrays([pa.array(bucket.astype(np.int64)), b["doc_id"], pa.array(texts, pa.binary())], ["bucket", "doc_id", "text"])
 
     return doc_text(docs).mapInArrow(run, "bucket long, doc_id long, text binary")
@@ -383,17 +421,16 @@ def dedup(docs: DataFrame, length: int = LENGTH, k: int = K, finish=None, fields
     """
     n = buckets(docs)
     asked = doc_text(docs).mapInArrow(_chunks(n, length, k), "bucket long, kind int, block binary")
-    notes = staged(asked.groupBy("bucket").applyInArrow(_answer(n), "bucket long, block binary"), "notes")
+    notes = asked.groupBy("bucket").applyInArrow(_answer(n), "bucket long, block binary")
     texts = _packed(docs, n)
 
     def cut_pieces(key, texts: pa.Table, notes: pa.Table) -> pa.Table:
         if not texts.num_rows or not notes.num_rows:
             return pa.table({"shard": pa.array([], pa.int64()), "bucket": pa.array([], pa.int64()), "block": pa.array([], pa.binary())})
-        return _Bucket(texts, notes["block"].to_pylist(), n, length, k).asked(key[0].as_py())
+        return _pieces(texts, notes["block"].to_pylist(), key[0].as_py(), n, length, k)
 
     pieces = texts.groupBy("bucket").cogroup(notes.groupBy("bucket")).applyInArrow(cut_pieces, "shard long, bucket long, block binary")
     minima = pieces.groupBy("shard").applyInArrow(_sort_shard(length, ram), "bucket long, shard long, block binary")
-    letters = notes.select(F.col("bucket").alias("bucket"), F.lit(-1).cast("long").alias("shard"), F.col("block").alias("block")).unionByName(minima)
     finish = finish or (lambda text, bounds: (kept_bytes(text, bounds),))
     names = [x.split()[0] for x in fields.split(",")]
     kinds = {"binary": pa.binary(), "bigint": pa.int64(), "long": pa.int64(), "string": pa.string()}
@@ -402,16 +439,15 @@ def dedup(docs: DataFrame, length: int = LENGTH, k: int = K, finish=None, fields
     def apply(key, texts: pa.Table, letters: pa.Table) -> pa.Table:
         rows, ids = [], []
         if texts.num_rows:
-            shards, blocks = letters["shard"].to_pylist(), letters["block"].to_pylist()
-            bucket = _Bucket(texts, [b for s, b in zip(shards, blocks) if s < 0], n, length, k)
-            for doc, text, bounds in bucket.removed([(s, b) for s, b in zip(shards, blocks) if s >= 0]):
+            found = list(zip(letters["shard"].to_pylist(), letters["block"].to_pylist()))
+            for doc, text, bounds in _removed(texts, found, length):
                 ids.append(doc)
                 rows.append(finish(text, bounds))
         columns = list(zip(*rows)) or [()] * len(names)
         return pa.Table.from_arrays([pa.array(ids, pa.int64()), *(pa.array(c, t) for c, t in zip(columns, kinds))], names=["doc_id", *names])
 
-    again = _packed(docs, n)
-    return again.groupBy("bucket").cogroup(letters.groupBy("bucket")).applyInArrow(apply, f"doc_id long, {fields}")
+    again = texts.select(F.col("bucket").alias("bucket"), "doc_id", "text")
+    return again.groupBy("bucket").cogroup(minima.groupBy("bucket")).applyInArrow(apply, f"doc_id long, {fields}")
 
 
 def kept_bytes(text: bytes, bounds: np.ndarray) -> bytes:
