@@ -101,6 +101,31 @@ def test_suffix_dedup_on_disk(spark, monkeypatch):
         assert sorted((tuple(x) for x in out.collect()), key=repr) == sorted(brute.op3(docs), key=repr)
 
 
+def test_shards_in_batches():
+    r = random.Random(6)
+    blocks_in = []
+    for _ in range(3):
+        pieces = ["".join(r.choice("ab") for _ in range(r.randrange(8, 14))).encode() for _ in range(40)]
+        anchors = np.array([int(p[4:7] == b"aba") for p in pieces], dtype=np.uint64)
+        blocks_in.append((np.array([len(p) for p in pieces], dtype=np.uint32), np.array([r.randrange(50) for _ in pieces], dtype=np.int64), anchors, b"".join(pieces)))
+    low = {}
+    for sizes, docs, anchors, data in blocks_in:
+        ends = np.cumsum(sizes).tolist()
+        for a, z, d, g in zip([0, *ends], ends, docs.tolist(), anchors.tolist()):
+            for i in range(a, z - 7):
+                low[g, data[i : i + 8]] = min(low.get((g, data[i : i + 8]), 99), d)
+    want = []
+    for sizes, _, anchors, data in blocks_in:
+        ends = np.cumsum(sizes).tolist()
+        want.append([low[g, data[i : i + 8]] for a, z, g in zip([0, *ends], ends, anchors.tolist()) for i in range(a, z - 7)])
+    for batch, ram in ((1, 1 << 26), (1 << 20, 1 << 26), (1 << 20, 500)):
+        got = [x.tolist() for x in suffix_dedup.shard_minima(blocks_in, length=8, ram=ram, batch=batch)]
+        if batch == 1:  # one anchor at a time: windows of other anchors do not count
+            assert got == want
+        else:
+            assert all(a <= b for x, y in zip(got, want) for a, b in zip(x, y))
+
+
 @given(st.lists(st.binary(max_size=20), max_size=20))
 @settings(max_examples=30, deadline=None)
 def test_blocks_round_trip(items):
