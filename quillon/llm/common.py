@@ -18,7 +18,18 @@ SPACE = " \t\n\x0b\x0c\r"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(df) if name in ("documents", "pages") else df
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over at least as many partitions as there are cores.
+
+    A table that comes in fewer pieces, such as one small file, is dealt out
+    before costly functions; any larger one stays as it is read.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def _own_folder() -> str:
