@@ -97,14 +97,15 @@ def dominance(df: DataFrame, cluster: str, member: str, count: str) -> DataFrame
     stands alone.
     """
     order = Window.partitionBy(cluster).orderBy(F.desc(count), member)
-    ranked = df.withColumn("_r", F.row_number().over(order))
-    out = ranked.groupBy(cluster).agg(
-        F.count("*").alias("size"),
-        F.sum(count).alias("total_counts"),
+    # Spark keeps two rows of a cluster from each partition before the shuffle, and the sums combine before theirs.
+    best = df.select(cluster, member, count, F.row_number().over(order).alias("_r")).filter("_r <= 2")
+    best = best.groupBy(cluster).agg(
         F.max(F.when(F.col("_r") == 1, F.col(member))).alias("seed"),
         F.max(F.when(F.col("_r") == 1, F.col(count))).alias("seed_counts"),
         F.max(F.when(F.col("_r") == 2, F.col(count))).alias("_second"),
     )
+    best = best.withColumnRenamed(cluster, "_cluster")
+    out = df.groupBy(cluster).agg(F.count("*").alias("size"), F.sum(count).alias("total_counts")).join(best, F.col(cluster).eqNullSafe(F.col("_cluster"))).drop("_cluster")
     dom = F.expr("cast(100 * seed_counts div total_counts as int)")
     conf = F.when(F.col("_second").isNull(), 100).otherwise(F.floor(100 - 100 * F.col("_second") / F.col("seed_counts")).cast("int"))
     return out.withColumns({"dominance": dom, "confidence": conf}).drop("_second")

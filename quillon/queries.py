@@ -476,6 +476,53 @@ def field_conversions(spark, sf):
     return c.select(convert.index_text("c_name").alias("plain"), convert.to_bool(F.when(F.col("c_acctbal") > 0, "Yes").otherwise("no")).alias("positive"), convert.to_percent(F.col("c_acctbal") / 3).alias("third"), convert.to_int(F.col("c_acctbal").cast("string")).alias("whole"))
 
 
+@query("select o_orderkey, o_orderkey || ':' || o_custkey || ':7:20' as code, '' as bare from orders")
+def header_codes(spark, sf):
+    head = F.concat(F.lit("M:1:F:"), F.col("o_orderkey"), F.lit(":"), F.col("o_custkey"), F.lit(":7:20"))
+    return table(spark, sf, "orders").select("o_orderkey", convert.cluster_code(F.concat(head, F.lit(" 1:N:0"))).alias("code"), convert.cluster_code(head).alias("bare"))
+
+
+@query("""select p_partkey, case when p_size % 7 < p_size then string_split(p_name, ' ')[1] else array_to_string(list_sort(list_distinct(string_split(p_name, ' '))), ',') end as top,
+array_to_string(list_sort(list_distinct(string_split(p_name, ' '))), ',') as unscored from part""")
+def top_scored_genes(spark, sf):
+    names = F.translate("p_name", " ", ",")
+    scores = F.concat_ws(",", "p_size", F.col("p_size") % 7)
+    return table(spark, sf, "part").select("p_partkey", F.array_join(genes.top_genes(names, scores), ",").alias("top"), F.array_join(genes.top_genes(names, F.lit("x")), ",").alias("unscored"))
+
+
+@query("""select kind, count(*) as n from (select case p_size % 5 when 0 then 'VDJ' when 1 then 'VJ' when 2 then 'VDJ' when 3 then 'VJ' else 'N/A' end as kind from part) group by kind""")
+def recombination_types(spark, sf):
+    v = F.element_at(F.array(*map(F.lit, ("IGHV1", "IGKV1", "TBV", "", "XX"))), F.col("p_size") % 5 + 1)
+    j = F.when(F.col("p_size") % 5 == 3, "IGLJ2").otherwise("")
+    return table(spark, sf, "part").select(genes.recombination_type(v, j).alias("kind")).groupBy("kind").agg(F.count("*").alias("n"))
+
+
+@query("select c_custkey, round(c_acctbal, 3) as shm, cast(c_custkey as varchar) as inner_number, case when length(c_mktsegment) > 0 then length(c_mktsegment) end as n, 100 - c_acctbal as rest from customer")
+def shm_fields(spark, sf):
+    c = table(spark, sf, "customer")
+    text = F.concat(F.format_string("%.2f", "c_acctbal"), F.lit(" (9)"))
+    return c.select("c_custkey", convert.parse_shm(text).alias("shm"), convert.in_parentheses(F.concat(F.lit("7 ("), F.col("c_custkey"), F.lit(")"))).alias("inner_number"), convert.length_or_null("c_mktsegment").alias("n"), convert.shm_from_identity("c_acctbal").alias("rest"))
+
+
+@query("""select c_custkey as SEQ_ID, array_to_string(list_sort(list(distinct o_orderstatus || '.' || o_orderpriority) filter (o_orderkey is not null)), ',') as analyses from customer
+left join (select o_custkey, o_orderkey, o_orderstatus, o_orderpriority from orders where o_orderkey in (select min(o_orderkey) from orders group by o_custkey, o_orderstatus, o_orderpriority)) on o_custkey = c_custkey group by c_custkey""")
+def reads_with_analyses(spark, sf):
+    c, o = table(spark, sf, "customer"), table(spark, sf, "orders")
+    first = o.groupBy("o_custkey", "o_orderstatus", "o_orderpriority").agg(F.min("o_orderkey").alias("o_orderkey"))
+    kind = "struct<KEY:bigint>"
+    raw = c.select(F.col("c_custkey").alias("SEQ_ID"), F.lit("e").alias("EXP_ID"), F.lit("@SEQ").alias("ANALYSIS_NAME"), F.lit(None).cast("string").alias("RECOMBINATION_TYPE"), F.struct(F.col("c_custkey").alias("KEY")).cast(kind).alias("DATA"))
+    rows = first.select(F.col("o_custkey").alias("SEQ_ID"), F.lit("e").alias("EXP_ID"), F.col("o_orderstatus").alias("ANALYSIS_NAME"), F.col("o_orderpriority").alias("RECOMBINATION_TYPE"), F.struct(F.col("o_orderkey").alias("KEY")).cast(kind).alias("DATA"))
+    exps = spark.createDataFrame([("e", "P", "E", "S", ["all"], ["u"], 1, True)], "_id string, PROJECT_NAME string, EXPERIMENT_NAME string, SPECIES string, READ_ACCESS array<string>, OWNERS_OF_EXPERIMENT array<string>, SEQ_COUNT int, CURATED boolean")
+    out = Session(raw.unionByName(rows), with_duplicated_fields(exps), {"user": "u"}).reads(same_document=True)
+    return out.select("SEQ_ID", F.array_join(F.array_sort(F.map_keys("ANALYSES")), ",").alias("analyses"))
+
+
+@query("select p_partkey, concat_ws('_', p_name, p_brand) || chr(10) || p_type as record from part")
+def fasta_records(spark, sf):
+    p = table(spark, sf, "part")
+    return p.select("p_partkey", F.concat(F.concat_ws("_", "p_name", "p_brand"), F.lit("\n"), "p_type").alias("record"))
+
+
 # Writes
 
 
