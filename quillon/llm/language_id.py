@@ -3,8 +3,9 @@
 Known words are scored by their log frequency in each language.  An unseen word
 is covered by the longest known character n-grams: at each place the longest
 gram that any language has seen, else progressively shorter ones; the mean of
-their log frequencies counts as one word.  A text's language has the greatest
-sum over its words.
+their log frequencies counts as one word.  Every place of a word is scored,
+however long the word is.  A text's language has the greatest sum over its
+words.
 
 The model comes from a bounded sample of labelled rows: about ``TRAIN_ROWS``
 rows, and never more, with the least hashes of doc_id.  Their words are counted
@@ -39,6 +40,7 @@ LONGEST = 4
 MIN_SCORE = 0.4
 _WORD = re.compile(r"[^\W\d_]+")
 _CACHE = 150_000
+_LONG = 64  # letters of a word that is worth keeping
 
 
 class Model:
@@ -76,8 +78,6 @@ class Model:
 
     def unseen(self, word: str) -> list[float] | None:
         """The backed-off vector of a word, or None if no part of it is known."""
-        if len(word) > 64:  # the ends and the middle of a run of letters no language has
-            word = word[:24] + word[len(word) // 2 - 8 : len(word) // 2 + 8] + word[-24:]
         padded, i, n = f"^{word}$", 0, 0
         total = [0.0] * len(self.langs)
         while i < len(padded):
@@ -97,14 +97,16 @@ class Scorer:
         self.cache: dict[str, int] = {}
         self.rows = np.zeros((_CACHE, len(model.langs)))
 
-    def _unseen(self, w: str) -> int:
+    def _unseen(self, w: str) -> np.ndarray:
+        v = self.model.unseen(w)
+        if len(w) > _LONG:  # scored whole like any other, but not kept
+            return np.zeros(self.rows.shape[1]) if v is None else np.array(v)
         if len(self.cache) >= _CACHE:
             self.cache.clear()
-        v = self.model.unseen(w)
         at = len(self.cache)
         self.rows[at] = 0.0 if v is None else v
         self.cache[w] = at
-        return at
+        return self.rows[at]
 
     def predict(self, text: str | None) -> tuple[str, float]:
         words = _WORD.findall(text.lower()) if text else []
@@ -121,7 +123,7 @@ class Scorer:
             cache, rows = self.cache, self.rows
             for w in other:
                 at = cache.get(w)
-                total += rows[self._unseen(w) if at is None else at]
+                total += self._unseen(w) if at is None else rows[at]
         best = int(np.argmax(total))
         # Repeated evidence is not independent: more than 20 words count as 20.
         scaled = (total - total[best]) * min(1.0, 20 / len(words))

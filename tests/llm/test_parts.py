@@ -214,6 +214,20 @@ def test_language_sample_is_bounded(spark, small):
     assert language_id.train(small.limit(0)).langs == []
 
 
+def test_long_words_are_scored_whole():
+    model = language_id.Model({"de": {"xyz": 3}, "en": {"abc": 3}})
+    ends, bulk = "abc" * 20, "xyz" * 400
+    word = ends + bulk + ends + bulk + ends  # its ends and its middle are not like the most of it
+    assert len(word) // 2 in range(len(ends + bulk), len(ends + bulk + ends))
+    scorer = language_id.Scorer(model)
+    assert scorer.predict(word)[0] == "de" and scorer.predict(ends + "q")[0] == "en"
+    assert not any(len(w) > language_id._LONG for w in scorer.cache)
+    padded, rows = f"^{word}$", []
+    for i in range(len(padded)):
+        rows.append(next((model.grams[padded[i : i + n]] for n in range(language_id.LONGEST, 0, -1) if padded[i : i + n] in model.grams), None))
+    assert np.allclose(model.unseen(word), np.mean([x for x in rows if x is not None], axis=0))
+
+
 def test_token_edits_at_random():
     counter = token_counts.Counter(*bpe.default_vocabulary())
     r = random.Random(4)
