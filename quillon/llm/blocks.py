@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 import numpy as np
 import zstandard
 from pyspark.sql import DataFrame
@@ -56,3 +58,35 @@ def unsqueeze_strings(block: bytes) -> list[bytes]:
     (sizes,), data = unsqueeze(block)
     ends = np.cumsum(sizes, dtype=np.int64).tolist()
     return [data[a:b] for a, b in zip([0, *ends], ends)]
+
+
+class Spool:
+    """Byte strings by number: in memory up to ``room`` bytes, later ones in an unlinked scratch file of the task."""
+
+    def __init__(self, room: int):
+        self.room, self.end = room, 0
+        self.items: list[bytes | tuple[int, int]] = []
+        self.file = None
+
+    def __len__(self) -> int:
+        return len(self.items)
+
+    def add(self, data: bytes) -> int:
+        if len(data) <= self.room:
+            self.room -= len(data)
+            self.items.append(data)
+        else:
+            if self.file is None:
+                self.file = tempfile.TemporaryFile()
+            self.file.seek(self.end)
+            self.file.write(data)
+            self.items.append((self.end, len(data)))
+            self.end += len(data)
+        return len(self.items) - 1
+
+    def get(self, i: int) -> bytes:
+        item = self.items[i]
+        if isinstance(item, bytes):
+            return item
+        self.file.seek(item[0])
+        return self.file.read(item[1])

@@ -7,7 +7,8 @@ first all L-suffixes and then all S-suffixes are induced: a scan in sorted
 order inserts each scanned suffix's left neighbour into a priority queue whose
 keys are (first symbol, order of insertion).  Queues and outputs spill to an
 unlinked scratch file of the task when they exceed ``ram``, and are read back
-in sequence, so a text may be far larger than memory.
+in sequence.  The arrays by position (types, run ends, names) stay in memory:
+a caller bounds the text's length.
 
 Each queue entry carries the length of the prefix that it shares with the
 entry before it, induced from the minimum over the scan between their right

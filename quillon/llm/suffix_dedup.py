@@ -15,10 +15,14 @@ cross documents.
    2 * LENGTH - K bytes); equal pieces of a bucket go on once, with their
    smallest doc_id, to the shard that their anchor belongs to.  So equal
    windows are always in one shard.
-3. A shard sorts the suffixes of all its pieces by external induced sorting
-   (``induced_sort``), whose queues carry common-prefix values; adjacent
-   suffixes that share LENGTH bytes are one group, and each window of the group
-   learns the group's smallest doc_id.
+3. A shard sorts the suffixes of its pieces by induced sorting
+   (``induced_sort``), whose queues carry common-prefix values, about ``BATCH``
+   bytes at a time; adjacent suffixes that share LENGTH bytes are one group, and
+   each window of the group learns the group's smallest doc_id.  An anchor with
+   more bytes than a batch is split by anchors of ever more bytes (see
+   ``_settle``).  A shard of more than ``RAM`` bytes waits on disk and is dealt
+   out by anchors there; in memory are then a block, a batch, and an index of
+   the blocks on disk, which still grows with the shard.
 4. These go back to the document buckets, where covered bytes are removed.
 
 All four shuffles carry compressed blocks, in a number of buckets that grows
@@ -42,7 +46,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .blocks import buckets, squeeze, unsqueeze
+from .blocks import Spool, buckets, squeeze, unsqueeze
 from .common import doc_text, table
 from .induced_sort import RAM, InducedSort
 
@@ -51,6 +55,7 @@ K = 19
 CHUNK_ROWS = 800_000
 _PIECE = 1 << 20
 BATCH = 1 << 20  # bytes of pieces sorted at a time
+_TABLE = 1 << 16  # bytes of different windows for which no further part is made
 _ODD = 0x9E3779B97F4A7C15
 _INVERSE = pow(_ODD, -1, 1 << 64)
 _powers: list[np.ndarray] = []
@@ -288,13 +293,13 @@ def _spots(first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.repeat(first - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
 
 
-def shard_minima(blocks: list[tuple[np.ndarray, np.ndarray, np.ndarray, bytes]], length: int = LENGTH, ram: int = RAM, batch: int = BATCH) -> list[np.ndarray]:
+def shard_minima(blocks: list[tuple[np.ndarray, np.ndarray, np.ndarray, bytes]], length: int = LENGTH, ram: int = RAM, batch: int = BATCH, k: int = K) -> list[np.ndarray]:
     """For each block of (sizes, doc_ids, anchors, joined pieces): the smallest doc_id with each window, in order.
 
     Equal windows have one anchor.  Where all pieces of an anchor have the same
     smallest doc_id, it is that of all their windows.  The pieces of the others
     are sorted, whole anchors together, about ``batch`` bytes at a time; an
-    anchor with more is sorted on its own, on disk if it exceeds ``ram``.
+    anchor with more is split.  All blocks are in memory here.
     """
     sizes = np.concatenate([s for s, _, _, _ in blocks]).astype(np.int64)
     docs = np.concatenate([d for _, d, _, _ in blocks])
@@ -315,14 +320,185 @@ def shard_minima(blocks: list[tuple[np.ndarray, np.ndarray, np.ndarray, bytes]],
     todo, part = todo[order], part[order]
     bounds = np.flatnonzero(np.diff(part, prepend=-1.0)).tolist()
     begin, first = np.cumsum(sizes) - sizes, np.cumsum(windows) - windows
+
+    def put(at: np.ndarray, n: np.ndarray, least: np.ndarray) -> None:
+        answer[_spots(at, n)] = least
+
+    hot = weight > batch
     for a, z in zip(bounds, [*bounds[1:], len(todo)]):
         own = todo[a:z]
+        for g in np.unique(group[own][hot[group[own]]]).tolist():
+            held = _Part()
+            spool = Spool(ram // 8)
+            mine = own[group[own] == g]
+            for some in _runs(mine, sizes[mine], batch):
+                held.add(spool, sizes[some], docs[some], first[some], b"".join([data[i : i + n] for i, n in zip(begin[some].tolist(), sizes[some].tolist())]))
+            _settle(spool, held, length, min(k, length - 1), ram, batch, put)
+        own = own[~hot[group[own]]]
+        if not len(own):
+            continue
         pieces = [data[i : i + n] for i, n in zip(begin[own].tolist(), sizes[own].tolist())]
         answer[_spots(first[own], windows[own])] = sorted_minima(pieces, docs[own], length, ram)
     ends = np.cumsum([int(s.sum()) - (length - 1) * len(s) for s, _, _, _ in blocks])
     return np.split(answer, ends[:-1])
 
 
+class _Part:
+    """Pieces of one part of a shard, as blocks of (sizes, doc_ids, places of the answers, joined pieces) in a spool."""
+
+    def __init__(self):
+        self.blocks: list[int] = []
+        self.size = 0
+
+    def add(self, spool: Spool, sizes: np.ndarray, docs: np.ndarray, places: np.ndarray, data: bytes) -> None:
+        self.blocks.append(spool.add(squeeze(sizes.astype(np.uint32), docs.view(np.uint64), places.astype(np.uint64), tail=data, level=1)))
+        self.size += len(data)
+
+    def read(self, spool: Spool) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, bytes]]:
+        for i in self.blocks:
+            (sizes, docs, places), data = unsqueeze(spool.get(i))
+            yield sizes.astype(np.int64), docs.view(np.int64), places.view(np.int64), data
+
+
+def _runs(items: np.ndarray, sizes: np.ndarray, most: int) -> list[np.ndarray]:
+    """``items`` in order, in runs of about ``most`` bytes."""
+    turn = (np.cumsum(sizes) - sizes) // most
+    return np.split(items, np.flatnonzero(np.diff(turn)) + 1)
+
+
+def _deal(spool: Spool, parts: list[_Part], level: int, hashes: np.ndarray, first: np.ndarray, sizes: np.ndarray, docs: np.ndarray, places: np.ndarray, data: bytes) -> None:
+    """Add pieces (bytes ``first`` to ``first + sizes`` of ``data``) to the parts that their hashes choose."""
+    mixed = (hashes + np.uint64(level + 1)) * np.uint64(_ODD)  # another choice at each level
+    mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    part = (mixed >> np.uint64(32)) % np.uint64(len(parts))
+    order = np.argsort(part, kind="stable")
+    for own in np.split(order, np.flatnonzero(np.diff(part[order])) + 1) if len(order) else []:
+        joined = b"".join([data[i : i + n] for i, n in zip(first[own].tolist(), sizes[own].tolist())])
+        parts[int(part[own[0]])].add(spool, sizes[own], docs[own], places[own], joined)
+
+
+def _settle(spool: Spool, held: _Part, length: int, k: int, ram: int, batch: int, put, level: int = 0) -> None:
+    """Give ``put`` the minima of a part's windows, holding a block and a batch of them at a time.
+
+    A part of at most ``batch`` bytes is sorted.  A larger one is cut again by
+    anchors of more bytes: for each window the gram with the least hash, of a
+    length half-way from ``k`` to ``length``.  Equal windows have equal anchors
+    of any length, so they meet in one of the new parts.  In the end the grams
+    are whole windows; a table of the different ones is then enough.
+    """
+    if held.size <= batch:
+        got = list(held.read(spool))
+        if not got:
+            return
+        sizes, docs, places = (np.concatenate(x) for x in list(zip(*got))[:3])
+        windows = sizes - length + 1
+        if docs.min() == docs.max():
+            put(places, windows, np.repeat(docs, windows))
+            return
+        data = b"".join(x[3] for x in got)
+        begin = np.cumsum(sizes) - sizes
+        put(places, windows, sorted_minima([data[i : i + n] for i, n in zip(begin.tolist(), sizes.tolist())], docs, length, max(ram, 32 * held.size)))
+        return
+    if k >= length:  # each piece is a window
+        least: dict[bytes, int] = {}
+        for sizes, docs, _, data in held.read(spool):
+            for i, doc in zip(range(0, len(data), length), docs.tolist()):
+                w = data[i : i + length]
+                if doc < least.get(w, doc + 1):
+                    least[w] = doc
+            if len(least) * length > max(batch, _TABLE):
+                break
+        else:
+            for sizes, _, places, data in held.read(spool):
+                put(places, np.ones(len(places), dtype=np.int64), np.array([least[data[i : i + length]] for i in range(0, len(data), length)], dtype=np.int64))
+            return
+        del least
+    k = min(length, k + max(1, (length - k + 1) // 2))
+    inner = Spool(ram // 8)
+    parts = [_Part() for _ in range(int(min(128, max(32, 2 * held.size // batch))))]
+    for sizes, docs, places, data in held.read(spool):
+        hashes, starts = anchors(data, length, k)
+        windows = sizes - length + 1
+        of = np.repeat(hashes, np.diff(starts))[_spots(np.cumsum(sizes) - sizes, windows)]  # each window's anchor
+        piece = np.repeat(np.arange(len(sizes)), windows)
+        cut = np.concatenate(([True], (piece[1:] != piece[:-1]) | (of[1:] != of[:-1]) | (k >= length)))
+        new = np.flatnonzero(cut)
+        n = np.diff(np.concatenate((new, [len(of)])))
+        own = piece[new]
+        inside = new - (np.cumsum(windows) - windows)[own]
+        _deal(inner, parts, level, of[new], (np.cumsum(sizes) - sizes)[own] + inside, n + length - 1, docs[own], places[own] + inside, data)
+    for p in parts:
+        _settle(inner, p, length, k, ram, batch, put, level + 1)
+
+
+class _Answers:
+    """Minima that come in any order, given back a block at a time; they wait in a spool, by ranges of blocks."""
+
+    def __init__(self, windows: list[int], ram: int):
+        self.room = max(1, ram // 64)
+        self.windows = np.array(windows, dtype=np.int64)
+        starts = np.cumsum(self.windows) - self.windows
+        self.first = np.flatnonzero(np.diff(starts // self.room, prepend=-1))
+        self.low = starts[self.first]
+        self.ranges: list[list[int]] = [[] for _ in self.first]
+        self.spool = Spool(ram // 8)
+        self.held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.size = 0
+
+    def put(self, at: np.ndarray, n: np.ndarray, least: np.ndarray) -> None:
+        self.held.append((at, n, least))
+        self.size += len(least)
+        if self.size >= self.room:
+            self._flush()
+
+    def _flush(self) -> None:
+        if not self.held:
+            return
+        at, n, least = (np.concatenate(x) for x in zip(*self.held))
+        self.held, self.size = [], 0
+        of = np.searchsorted(self.low, at, "right") - 1
+        order = np.argsort(of, kind="stable")
+        first = np.cumsum(n) - n
+        for own in np.split(order, np.flatnonzero(np.diff(of[order])) + 1):
+            block = squeeze(at[own].astype(np.uint64), n[own].astype(np.uint64), least[_spots(first[own], n[own])].view(np.uint64), level=1)
+            self.ranges[int(of[own[0]])].append(self.spool.add(block))
+
+    def read(self) -> Iterator[np.ndarray]:
+        self._flush()
+        for r, (a, z) in enumerate(zip(self.first.tolist(), [*self.first[1:].tolist(), len(self.windows)])):
+            ends = np.cumsum(self.windows[a:z])
+            out, told = np.zeros(int(ends[-1]), dtype=np.int64), 0
+            for i in self.ranges[r]:
+                at, n, least = (x.view(np.int64) for x in unsqueeze(self.spool.get(i))[0])
+                out[_spots(at - self.low[r], n)] = least
+                told += len(least)
+            if told != len(out):
+                raise RuntimeError("a window has no answer")
+            yield from np.split(out, ends[:-1])
+
+
+def spooled_minima(spool: Spool, sizes: list[tuple[int, int]], length: int = LENGTH, ram: int = RAM, batch: int = BATCH, k: int = K) -> Iterator[np.ndarray]:
+    """As ``shard_minima``, for spooled blocks with these numbers of (bytes, windows), a block at a time.
+
+    Pieces and answers wait on disk; one block and one batch are in memory.
+    """
+    answers = _Answers([w for _, w in sizes], ram)
+    inner = Spool(ram // 8)
+    parts = [_Part() for _ in range(int(min(128, max(2, 2 * sum(n for n, _ in sizes) // batch))))]
+    place = 0
+    for i in range(len(spool)):
+        (n, docs, grams), data = unsqueeze(spool.get(i))
+        n, hashes = n.astype(np.int64), np.cumsum(grams, dtype=np.uint64)
+        first, windows = np.cumsum(n) - n, n - length + 1
+        places = place + np.cumsum(windows) - windows
+        place += int(windows.sum())
+        for some in _runs(np.arange(len(n)), n, batch):
+            _deal(inner, parts, -1, hashes[some], first[some], n[some], docs.view(np.int64)[some], places[some], data)
+    for p in parts:
+        _settle(inner, p, length, min(k, length - 1), ram, batch, answers.put)
+    return answers.read()
+
+
 def sorted_minima(pieces: list[bytes], docs: np.ndarray, length: int = LENGTH, ram: int = RAM) -> np.ndarray:
     """The smallest doc_id with each window of the pieces, by sorting all their suffixes."""
     where = None
@@ -386,14 +562,30 @@ def _scratch(n: int, kind, ram: int) -> np.ndarray:
     return np.memmap(tempfile.TemporaryFile(), dtype=kind, shape=(n,), mode="w+")
 
 
-def _sort_shard(length: int, ram: int):
-    def run(asked: pa.Table) -> pa.Table:
-        if asked["shard"][0].as_py() < 0:  # a bucket's places, on their way back to it
-            return asked.select(["bucket", "shard", "block"])
-        blocks = [unsqueeze(b) for b in asked["block"].to_pylist()]
-        got = shard_minima([(sizes, docs.view(np.int64), np.cumsum(grams, dtype=np.uint64), data) for (sizes, docs, grams), data in blocks], length, ram)
-        answers = [squeeze(x.view(np.uint64)) for x in got]
-        return pa.table({"bucket": asked["bucket"], "shard": asked["shard"], "block": pa.array(answers, pa.binary())})
+def _sort_shard(length: int, k: int, ram: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        spool = Spool(ram)
+        heads: list[tuple[int, int]] = []
+        sizes: list[tuple[int, int]] = []
+        for b in batches:
+            if b.num_rows and b["shard"][0].as_py() < 0:  # a bucket's places, on their way back to it
+                yield b.select(["bucket", "shard", "block"])
+                continue
+            for bucket, shard, block in zip(b["bucket"], b["shard"], b["block"]):
+                block = block.as_py()
+                n = unsqueeze(block)[0][0]
+                heads.append((bucket.as_py(), shard.as_py()))
+                sizes.append((int(n.sum()), int(n.sum()) - (length - 1) * len(n)))
+                spool.add(block)
+        if not heads:
+            return
+        if sum(n for n, _ in sizes) <= ram:
+            blocks = [unsqueeze(spool.get(i)) for i in range(len(spool))]
+            got = iter(shard_minima([(n, docs.view(np.int64), np.cumsum(grams, dtype=np.uint64), data) for (n, docs, grams), data in blocks], length, ram, k=k))
+        else:
+            got = spooled_minima(spool, sizes, length, ram, min(BATCH, ram), k)
+        for (bucket, shard), least in zip(heads, got):
+            yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int64()), pa.array([shard], pa.int64()), pa.array([squeeze(least.view(np.uint64))], pa.binary())], ["bucket", "shard", "block"])
 
     return run
 
@@ -430,7 +622,7 @@ def dedup(docs: DataFrame, length: int = LENGTH, k: int = K, finish=None, fields
         return _pieces(texts, notes["block"].to_pylist(), key[0].as_py(), n, length, k)
 
     pieces = texts.groupBy("bucket").cogroup(notes.groupBy("bucket")).applyInArrow(cut_pieces, "shard long, bucket long, block binary")
-    minima = pieces.groupBy("shard").applyInArrow(_sort_shard(length, ram), "bucket long, shard long, block binary")
+    minima = pieces.groupBy("shard").applyInArrow(_sort_shard(length, k, ram), "bucket long, shard long, block binary")
     finish = finish or (lambda text, bounds: (kept_bytes(text, bounds),))
     names = [x.split()[0] for x in fields.split(",")]
     kinds = {"binary": pa.binary(), "bigint": pa.int64(), "long": pa.int64(), "string": pa.string()}

@@ -126,6 +126,59 @@ def test_shards_in_batches():
             assert all(a <= b for x, y in zip(got, want) for a, b in zip(x, y))
 
 
+def hot_blocks(n_blocks, pieces, seed=9):
+    """Blocks of pieces that all have one anchor, with some equal windows in them."""
+    r = random.Random(seed)
+    gram = b"aabbccddabcdabcddca"
+    some_bytes = lambda: bytes(r.choices(b"abcd", k=31))
+    tails = [some_bytes() for _ in range(300)]
+    out = []
+    for _ in range(n_blocks):
+        some = [r.choice((some_bytes(), r.choice(tails))) + gram + r.choice((some_bytes(), r.choice(tails))) for _ in range(pieces)]
+        some += [some[0][: r.randrange(50, 81)] for _ in range(3)] + [gram + b"e" * 31 + b"e" * r.randrange(30) for _ in range(5)]
+        docs = np.array([r.randrange(-50, 10**6) for _ in some], dtype=np.int64)
+        out.append((np.array([len(p) for p in some], dtype=np.uint32), docs, np.full(len(some), 7, dtype=np.uint64), b"".join(some)))
+    return out
+
+
+def spooled(blocks_in, room, **limits):
+    spool, sizes = blocks.Spool(room), []
+    for n, docs, grams, data in blocks_in:
+        spool.add(blocks.squeeze(n, docs.view(np.uint64), np.diff(grams, prepend=np.uint64(0)), tail=data))
+        sizes.append((len(data), len(data) - 49 * len(n)))
+    return suffix_dedup.spooled_minima(spool, sizes, **limits)
+
+
+def test_a_hot_anchor_is_split_exactly():
+    given_ = hot_blocks(3, 40)
+    low = {}
+    cuts = []
+    for sizes, docs, _, data in given_:
+        ends = np.cumsum(sizes.astype(int)).tolist()
+        cuts.append([(data[i : i + 50], d) for a, z, d in zip([0, *ends], ends, docs.tolist()) for i in range(a, z - 49)])
+        for w, d in cuts[-1]:
+            low[w] = min(low.get(w, d), d)
+    want = [[low[w] for w, _ in c] for c in cuts]
+    for ram, batch in ((1 << 16, 1 << 12), (2000, 400)):
+        assert [x.tolist() for x in spooled(given_, 1000, ram=ram, batch=batch)] == want
+        assert [x.tolist() for x in suffix_dedup.shard_minima(given_, ram=ram, batch=batch)] == want
+
+
+def test_no_sort_of_a_hot_anchor_gets_more_than_a_batch(monkeypatch):
+    ram, batch, seen = 1 << 14, 1 << 12, []
+
+    def note(pieces, docs, length, ram):  # in place of the sort
+        seen.append(sum(map(len, pieces)))
+        return np.repeat(docs, [len(p) - length + 1 for p in pieces])
+
+    monkeypatch.setattr(suffix_dedup, "sorted_minima", note)
+    given_ = hot_blocks(4, 250)
+    assert sum(len(b[3]) for b in given_) > 4 * ram
+    for got in (list(spooled(given_, 0, ram=ram, batch=batch)), suffix_dedup.shard_minima(given_, ram=ram, batch=batch)):
+        assert [len(x) for x in got] == [len(b[3]) - 49 * len(b[0]) for b in given_]
+    assert max(seen) <= batch
+
+
 @given(st.lists(st.binary(max_size=20), max_size=20))
 @settings(max_examples=30, deadline=None)
 def test_blocks_round_trip(items):
