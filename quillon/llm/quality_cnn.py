@@ -8,11 +8,12 @@ their maximum over the document) by a logistic layer into one probability.
 
 Training is on the driver from a bounded sample: the ``TRAIN_ROWS`` labelled
 rows with the least hash of doc_id among those whose crc32(doc_id) mod 5 is not
-0, and of these no more than ``TRAIN_BYTES`` bytes.  Scores come from bytes
-alone.  Every document is scored whole.
+0, one text of each, passing over texts that would take the sum over
+``TRAIN_BYTES`` bytes.  Scores come from bytes alone.  Every document is scored whole.
 
 Defined cases: null counts as empty; an empty text has the score that the last
-layer's bias gives; with no usable label all scores are 0.5.  Labels that
+layer's bias gives; with no usable label, or no text that fits, all
+scores are 0.5.  Labels that
 repeat a doc_id with different values are not learned from.  Repeated rows and
 repeated or null doc_ids give a row each.
 """
@@ -144,15 +145,17 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, most_bytes
     picked = known.select("doc_id", F.col("y").cast("int").alias("y"), F.xxhash64("doc_id").alias("h")).orderBy("h", "doc_id").limit(rows)
     texts = doc_text(docs).join(F.broadcast(picked), "doc_id").filter("text is not null")
     # Sizes first: they decide how many of the texts fit, before any is fetched.
-    last, size = None, 0
-    for r in texts.groupBy("h").agg(F.sum(F.octet_length("text")).alias("n")).orderBy("h").collect():
-        size += r.n
-        if size > most_bytes:
-            break
-        last = r.h
-    if last is None:
+    chosen, size = [], 0
+    one = F.min(F.struct(F.md5("text").alias("m"), F.octet_length("text").alias("n"))).alias("x")
+    for r in texts.groupBy("h", "doc_id").agg(one).orderBy("h", "doc_id").collect():
+        if size + r.x.n <= most_bytes:  # a text that does not fit is passed over
+            size += r.x.n
+            chosen.append((r.doc_id, r.x.m))
+    if not chosen:
         return ByteCNN()
-    got = [(bytes(r.text), r.y) for r in texts.filter(F.col("h") <= last).orderBy("h", "doc_id", F.md5("text")).collect()]
+    wanted = docs.sparkSession.createDataFrame(chosen, "doc_id long, m string")
+    fetched = texts.withColumn("m", F.md5("text")).join(F.broadcast(wanted), ["doc_id", "m"]).dropDuplicates(["doc_id"])
+    got = [(bytes(r.text), r.y) for r in fetched.orderBy("h", "doc_id").collect()]
     return ByteCNN().fit(got)
 
 

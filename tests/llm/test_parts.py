@@ -248,6 +248,17 @@ def test_quality_held_out_accuracy(spark):
     assert right / len(held) > 0.94
 
 
+def test_quality_sample_passes_over_texts_that_do_not_fit(spark, monkeypatch):
+    ids = [i for i in range(60) if zlib.crc32(str(i).encode()) % 5]
+    labels = spark.createDataFrame([(i, i % 2) for i in ids], "doc_id long, quality int")
+    first = labels.selectExpr("doc_id", "xxhash64(doc_id) as h").orderBy("h").first().doc_id
+    rows = [(i, "x" * 5000 if i == first else f"text {i}") for i in ids] + [(ids[-1], f"text {ids[-1]}")] * 3
+    got = []
+    monkeypatch.setattr(quality_cnn.ByteCNN, "fit", lambda self, rows: got.extend(rows) or self)
+    quality_cnn.train(spark.createDataFrame(rows, "doc_id long, text string"), labels, most_bytes=2000)
+    assert sorted(t for t, _ in got) == sorted(f"text {i}".encode() for i in ids if i != first)
+
+
 def test_line_quality_against_labels(spark):
     docs, labels = labelled(spark)
     out = line_quality.judge(docs.join(labels, "doc_id").select("doc_id", "text", "quality"))
