@@ -1,4 +1,4 @@
-"""Language identification by known words first, backing off to character n-grams.
+r"""Language identification by known words first, backing off to character n-grams.
 
 Known words are scored by their log frequency in each language.  An unseen word
 is covered by the longest known character n-grams: at each place the longest
@@ -7,15 +7,22 @@ their log frequencies counts as one word.  Every place of a word is scored,
 however long the word is.  A text's language has the greatest sum over its
 words.
 
-The model comes from a bounded sample of labelled rows: about ``TRAIN_ROWS``
-rows, and never more, with the least hashes of doc_id.  Their words are counted
-in Spark and the ``MODEL_WORDS`` most frequent of each language are kept.  Rows whose
-crc32(doc_id) mod 3 is 1 are held out.  The model's size is bounded by these
-two parameters, whatever the size of the corpus, so it is broadcast.
-
-Defined cases: null text or text without a letter gives ``und`` with score 0;
-ties go to the alphabetically first language; with no labelled row at all every
-text is ``und``.  Repeated rows and repeated or null doc_ids give a row each
+A word is a run of letters (``\p{L}+``), in training and in prediction alike.
+The score is the probability of the language, where a text of more than
+``EVIDENCE`` words counts as one of so many with the same mean: words of a text
+are not independent, and its score should not depend on its length.
+
+The model comes from a bounded sample of labelled rows: those in a share of the
+range of hashes of (doc_id, text) that is expected to give ``TRAIN_ROWS`` rows
+or ``TRAIN_BYTES`` bytes, whichever is less.  Their words are counted in Spark,
+where no task gathers texts, and the ``MODEL_WORDS`` most frequent of each language are
+kept.  Rows whose crc32(doc_id) mod 3 is 1 are held out.  The model's size is
+bounded by ``MODEL_WORDS``, whatever the size of the corpus, so it is broadcast.
+
+Defined cases: null text or text without a letter gives ``und`` with score 0
+(digits, marks, superscripts, fractions, Roman and circled numerals are no
+letters); ties go to the alphabetically first language; with no labelled row at
+all every text is ``und``.  Repeated rows and repeated or null doc_ids give a row each
 (null ids are not held out and are not learned from).
 """
 
@@ -25,6 +32,7 @@ import math
 import re
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -35,10 +43,12 @@ from pyspark.sql import types as T
 from .common import fresh, table
 
 TRAIN_ROWS = 8000
+TRAIN_BYTES = 64 << 20
 MODEL_WORDS = 20_000
 LONGEST = 4
 MIN_SCORE = 0.4
-_WORD = re.compile(r"[^\W\d_]+")
+EVIDENCE = 20
+_RUN = re.compile(r"[^\W\d_]+")  # letters, and numerals that are neither digits nor letters
 _CACHE = 150_000
 _LONG = 64  # letters of a word that is worth keeping
 
@@ -91,42 +101,59 @@ class Model:
         return [x / n for x in total] if n else None
 
 
+def words(text: str | None) -> list[str]:
+    """The runs of letters of a text, in lower case."""
+    found = _RUN.findall(text.lower()) if text else []
+    if all(map(str.isalpha, found)):
+        return found
+    return [w for run in found for w in "".join(c if c.isalpha() else " " for c in run).split()]
+
+
 class Scorer:
+    """Scores texts; words met lately have a row in the same table as known ones, after them."""
+
     def __init__(self, model: Model):
         self.model = model
-        self.cache: dict[str, int] = {}
-        self.rows = np.zeros((_CACHE, len(model.langs)))
+        self.known = len(model.words.keys)
+        self.rows = np.zeros((self.known + _CACHE, len(model.langs)))
+        self.rows[: self.known] = model.words.matrix
+        self._forget()
+
+    def _forget(self) -> None:
+        self.at = dict(self.model.words.keys)
 
     def _unseen(self, w: str) -> np.ndarray:
         v = self.model.unseen(w)
-        if len(w) > _LONG:  # scored whole like any other, but not kept
-            return np.zeros(self.rows.shape[1]) if v is None else np.array(v)
-        if len(self.cache) >= _CACHE:
-            self.cache.clear()
-        at = len(self.cache)
-        self.rows[at] = 0.0 if v is None else v
-        self.cache[w] = at
-        return self.rows[at]
+        return np.zeros(self.rows.shape[1]) if v is None else np.array(v)
+
+    def _sum(self, some: list[str]) -> np.ndarray:
+        at = np.fromiter(map(self.at.get, some, repeat(-1)), dtype=np.int64, count=len(some))
+        total = np.zeros(self.rows.shape[1])
+        for i in np.flatnonzero(at < 0).tolist():
+            w = some[i]
+            place = self.at.get(w)
+            if place is None:
+                v = self._unseen(w)
+                if len(w) > _LONG or len(self.at) == len(self.rows):  # scored whole like any other, but not kept
+                    total += v
+                    continue
+                place = self.at[w] = len(self.at)
+                self.rows[place] = v
+            at[i] = place
+        total += self.rows[at[at >= 0]].sum(axis=0)
+        if len(self.at) == len(self.rows):
+            self._forget()
+        return total
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        words = _WORD.findall(text.lower()) if text else []
-        if not words or not self.model.langs:
+        found = words(text)
+        if not found or not self.model.langs:
             return "und", 0.0
-        keys = self.model.words.keys
         total = np.zeros(len(self.model.langs))
-        for i in range(0, len(words), 100_000):
-            known, other = [], []
-            for w in words[i : i + 100_000]:
-                at = keys.get(w)
-                (other if at is None else known).append(w if at is None else at)
-            total += self.model.words.matrix[known].sum(axis=0)
-            cache, rows = self.cache, self.rows
-            for w in other:
-                at = cache.get(w)
-                total += self._unseen(w) if at is None else rows[at]
+        for i in range(0, len(found), 100_000):
+            total += self._sum(found[i : i + 100_000])
         best = int(np.argmax(total))
-        # Repeated evidence is not independent: more than 20 words count as 20.
-        scaled = (total - total[best]) * min(1.0, 20 / len(words))
+        scaled = (total - total[best]) * min(1.0, EVIDENCE / len(found))
         return self.model.langs[best], float(1 / np.exp(scaled).sum())
 
 
@@ -134,13 +161,14 @@ def held_out(doc_id):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def train(docs: DataFrame, rows: int = TRAIN_ROWS, words: int = MODEL_WORDS) -> Model:
-    """A model from at most ``rows`` labelled rows of ``docs`` that are not held out."""
+def train(docs: DataFrame, rows: int = TRAIN_ROWS, words: int = MODEL_WORDS, most_bytes: int = TRAIN_BYTES) -> Model:
+    """A model from a sample of about ``rows`` labelled rows or ``most_bytes`` bytes of ``docs``, none of them held out."""
     usable = docs.filter("doc_id is not null and text is not null and lang is not null").filter(~held_out("doc_id"))
-    n = usable.count()
+    n, size = usable.agg(F.count("*"), F.sum(F.octet_length("text"))).first()
     sample = usable.select("lang", "text")
-    if n > rows:  # an even share of the hashes' range; the limit holds it where rows repeat a doc_id
-        sample = usable.filter(F.xxhash64("doc_id") <= int(-(2**63) + 2**64 * (0.97 * rows / n))).select("lang", "text").limit(rows)
+    share = min(rows / max(n, 1), most_bytes / max(size or 0, 1))
+    if share < 1:
+        sample = usable.filter(F.xxhash64("doc_id", "text") <= int(-(2**63) + 2**64 * share)).select("lang", "text")
     counted = sample.select("lang", F.explode(F.expr(r"regexp_extract_all(lower(text), '\\p{L}+', 0)")).alias("w")).groupBy("lang", "w").agg(F.count("*").alias("n"))
     first = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "w"))
     counts: dict[str, dict[str, int]] = defaultdict(dict)

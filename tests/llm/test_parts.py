@@ -274,10 +274,44 @@ def test_language_held_out_accuracy(spark):
 
 
 def test_language_sample_is_bounded(spark, small):
-    assert language_id.train(small, rows=5).langs
+    few, all_ = language_id.train(small, rows=20), language_id.train(small)
+    assert 0 < len(few.words.keys) < len(all_.words.keys)
+    assert len(language_id.train(small, most_bytes=20_000).words.keys) < len(all_.words.keys)
     assert language_id.train(small.limit(0)).langs == []
 
 
+def test_words_are_runs_of_letters(spark):
+    texts = ["² ½ Ⅷ ① 12 _", "x² aⅧb ª ʰ", "Ünï漢字 co-op don't", "", None]
+    assert [language_id.words(t) for t in texts] == [[], ["x", "a", "b", "ª", "ʰ"], ["ünï漢字", "co", "op", "don", "t"], [], []]
+    spark_words = spark.createDataFrame([(t,) for t in texts[:3]], "t string").selectExpr(r"regexp_extract_all(lower(t), '\\p{L}+', 0) as w").collect()
+    assert [r.w for r in spark_words] == [language_id.words(t) for t in texts[:3]]
+    scorer = language_id.Scorer(language_id.Model({"en": {"x": 3}}))
+    assert scorer.predict("² ½ Ⅷ") == ("und", 0.0) and scorer.predict("² x")[0] == "en"
+
+
+def test_language_scores_against_a_plain_version(small, monkeypatch):
+    monkeypatch.setattr(language_id, "_CACHE", 50)  # words are forgotten again and again
+    model = language_id.train(small)
+    scorer = language_id.Scorer(model)
+    for r in small.collect():
+        found = [w for w in language_id.words(r.text)]
+        total = np.zeros(len(model.langs))
+        for w in found:
+            if w in model.words.keys:
+                total += model.words.matrix[model.words.keys[w]]
+                continue
+            padded, got = f"^{w}$", []
+            for i in range(len(padded)):
+                got += [model.grams[padded[i : i + n]] for n in range(language_id.LONGEST, 0, -1) if padded[i : i + n] in model.grams][:1]
+            total += np.mean(got, axis=0) if got else 0
+        want = ("und", 0.0)
+        if found:
+            chance = np.exp((total - total.max()) * min(1, language_id.EVIDENCE / len(found)))
+            want = (model.langs[int(np.argmax(total))], chance.max() / chance.sum())
+        got = scorer.predict(r.text)
+        assert got[0] == want[0] and abs(got[1] - want[1]) < 1e-9
+
+
 def test_long_words_are_scored_whole():
     model = language_id.Model({"de": {"xyz": 3}, "en": {"abc": 3}})
     ends, bulk = "abc" * 20, "xyz" * 400
@@ -285,7 +319,7 @@ def test_long_words_are_scored_whole():
     assert len(word) // 2 in range(len(ends + bulk), len(ends + bulk + ends))
     scorer = language_id.Scorer(model)
     assert scorer.predict(word)[0] == "de" and scorer.predict(ends + "q")[0] == "en"
-    assert not any(len(w) > language_id._LONG for w in scorer.cache)
+    assert not any(len(w) > language_id._LONG for w in scorer.at)
     padded, rows = f"^{word}$", []
     for i in range(len(padded)):
         rows.append(next((model.grams[padded[i : i + n]] for n in range(language_id.LONGEST, 0, -1) if padded[i : i + n] in model.grams), None))
