@@ -1,6 +1,7 @@
 """Parts of the operators: bounds, hot groups, external paths, trained models, stages."""
 
 import random
+import time
 import zlib
 
 import brute
@@ -326,27 +327,65 @@ def test_long_words_are_scored_whole():
     assert np.allclose(model.unseen(word), np.mean([x for x in rows if x is not None], axis=0))
 
 
-def test_token_edits_at_random():
-    counter = token_counts.Counter(*bpe.default_vocabulary())
+JOINING = r"(?i:'s|'t|'re|'ve|'m|'ll|'d)|[^\r\n\p{L}\p{N}]?\p{L}+|\p{N}{1,3}| ?[^\s\p{L}\p{N}]+[\r\n]*|\s*[\r\n]+|\s+(?!\S)|\s+"
+
+
+@pytest.mark.parametrize(("pattern", "margin"), [(None, token_counts.MARGIN), (None, None), (JOINING, token_counts.MARGIN), (JOINING, None), (r"\p{L}+|\p{N}+(?=x*y)", None)])
+def test_token_edits_at_random(monkeypatch, pattern, margin):
+    path, own = bpe.default_vocabulary()
+    counter = token_counts.Counter(path, token_counts.checked(pattern or own))
     r = random.Random(4)
-    alphabet = " \t\n'srevtmldLab09ß漢.,!?🙂  \n\n"
+    alphabet = " \t\n'srevtmldLab09ß漢.,!?🙂  \n\nxxy"
     some = lambda k: "".join(r.choice(alphabet) for _ in range(r.randint(0, k)))
-    held = token_counts.SEGMENT
-    token_counts.SEGMENT = 4
-    try:
-        for _ in range(300):
-            text = some(60)
-            tree = token_counts.TokenTree(text, counter)
-            for _ in range(5):
-                a = r.randint(-2, len(text) + 2)
-                b, new = a + r.randint(-1, 12), some(20)
-                start = min(max(a, 0), len(text))
-                text = text[:start] + new + text[min(max(b, start), len(text)) :]
-                tree.edit(a, b, new)
-                whole = token_counts.TokenTree(text, counter)
-                assert (tree.text, tree.total, tree.chars[1]) == (text, whole.total, len(text))
-    finally:
-        token_counts.SEGMENT = held
+    monkeypatch.setattr(token_counts, "SEGMENT", 4)
+    for turn in range(250):
+        text = some(60) + (" " * r.randint(0, 40) + "\n" * r.randint(0, 3) + some(40)) * (turn % 3)
+        tree = token_counts.TokenTree(text, counter, margin)
+        for _ in range(5):
+            a = r.randint(-2, len(text) + 2)
+            b, new = a + r.randint(-1, 12), some(20)
+            start = min(max(a, 0), len(text))
+            text = text[:start] + new + text[min(max(b, start), len(text)) :]
+            tree.edit(a, b, new)
+            whole = token_counts.TokenTree(text, counter, margin)
+            assert (tree.text, tree.total, tree.chars[1]) == (text, whole.total, len(text))
+            assert tree.leaves == whole.leaves  # the segments, not only their sum
+
+
+def test_token_edits_touch_little():
+    counter = token_counts.Counter(*bpe.default_vocabulary())
+    text = "some words of a long text, and a line.\n" * 30_000
+    tree = token_counts.TokenTree(text, counter)
+    for i in range(200):
+        tree.edit(5000 * i, 5000 * i + 3, "xyz")
+    assert tree.encoded < 200 * 20
+    assert sum(x is not None for x in tree.texts) < 0.7 * len(tree.texts)
+    assert tree.total == token_counts.TokenTree(tree.text, counter).total
+
+
+def test_patterns_that_cannot_be_cut_anew():
+    for pattern in (r"(?<=a)b", r"\bword\b", r"\s*", "^a"):
+        with pytest.raises(ValueError):
+            token_counts.checked(pattern)
+
+
+@pytest.mark.parametrize("unit", ["a", "a.", "a@", "@a", "a@b", "a@b.", "1 ", "1", "(", "+1 ", "1.", "-", " "])
+def test_redactions_are_linear(unit):
+    began = time.thread_time()
+    token_counts.redactions(unit * (1_000_000 // len(unit)))
+    assert time.thread_time() - began < 8  # a quadratic one takes many minutes
+
+
+def test_redactions_and_clashing_names(spark):
+    assert token_counts.redactions("a@b@c.de, x.y+z@q.org! +1 555 123 4567, 10.0.0.1") == [(40, 48, "[NUMBER]"), (23, 38, "[NUMBER]"), (10, 21, "[EMAIL]"), (2, 8, "[EMAIL]")]
+    docs = spark.createDataFrame([(1, "mail a@b.cd", "x", "y")], "doc_id long, text string, edits string, edited string")
+    out = token_counts.with_redactions(docs)
+    assert out.columns[-1] == "_edits"
+    row = token_counts.count_tokens(out, edits="_edits").first()
+    assert (row.edits, row.n_edits) == ("x", 1)
+    edits = spark.createDataFrame([(1, 1, 0, 4, "Post")], "doc_id long, nr int, start int, stop int, text string")
+    row = token_counts.count_tokens(token_counts.with_edits(docs, edits), edits="_edits").first()
+    assert (row.edited, row.n_edits) == ("y", 1)
 
 
 def test_token_edits_from_a_table(spark, odd_docs):
