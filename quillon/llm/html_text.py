@@ -2,14 +2,21 @@
 
 A page is read into its leaf blocks in page order: runs of text between block
 boundaries, each with its ancestors' tags and class names.  Scripts, styles,
-the head, form controls and comments are no text.  A CRF labels the sequence of
+the head, form controls and comments are no text; formulas, drawings and the
+fallback text of embedded media are text like any other.  A CRF labels the sequence of
 blocks as main text or not, from ancestor and text features, decoded by
 Viterbi.  It is trained here on labelled pages from ``training_pages``, which
 write articles, menus, headers, footers, sidebars, adverts, notices, forms and
 reader comments in many structures with invented words.
 
+A page is read once from left to right: open elements carry the features of all
+their ancestors, and each tag's open elements are indexed, so that time is
+linear in the page however deep it is or broken its tags are.
+
 Defined cases: null or empty html, or a page without main text, gives ''.
-Unclosed and misnested tags are tolerated, a page may end anywhere.  Repeated
+Unclosed and misnested tags are tolerated, a page may end anywhere; ``<`` that
+opens no tag is text; a tag that its quotes keep from ending ends at its first
+``>``; a script or style without an end goes on to the end of the page.  Repeated
 rows, repeated or null page_ids give a row each; extra columns are kept by
 ``extract``.
 """
@@ -30,13 +37,17 @@ from pyspark.sql import types as T
 from .common import fresh, table
 from .crf import ChainCRF
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|[^<]+|<", re.S)
+#: A tag's name and attributes; a quoted value stands behind "=", other quotes are plain characters.
+_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+)*+)>")
+_LOOSE_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>")
 _ATTR = re.compile(r"(class|id|role|hidden|aria-hidden|style)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
 _NAME = re.compile(r"[A-Za-z][a-z]*|[A-Z]+")
-_RAW = {"script", "style", "noscript", "template", "textarea", "title", "iframe", "svg", "math", "canvas", "object", "audio", "video", "xmp", "noembed", "noframes"}
-_SILENT = {"head", "select", "option", "datalist", "button"}
+_RAW = {"script", "style", "textarea", "title", "iframe", "noembed", "noframes"}  # their content is no markup, and not shown as text
+_TO_THE_END = {"script", "style"}
+_SILENT = {"head", "select", "option", "datalist", "button", "template"}
+_IN_HEAD = {"html", "head", "title", "base", "basefont", "bgsound", "link", "meta", "style", "script", "noscript", "template"}
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
-_INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img input".split())
+_INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img input math mi mo mn ms mtext mrow msup msub msubsup mfrac msqrt mroot mover munder semantics svg g text tspan object audio video picture canvas".split())
 _CLOSES_P = set("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split())
 _SELF_CLOSING = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
 
@@ -61,7 +72,7 @@ _F = {n: i for i, n in enumerate(_NAMES)}
 
 
 class _Block:
-    __slots__ = ("features", "linked", "text")
+    __slots__ = ("features", "text")
 
     def __init__(self, text: str, features: list[int]):
         self.text, self.features = text, features
@@ -85,99 +96,154 @@ def _marks(tag: str, attrs: str) -> frozenset[int]:
     return frozenset(out)
 
 
+class _Open:
+    """An open element, with what it and its ancestors say about the blocks in it."""
+
+    __slots__ = ("features", "inner", "inside", "links", "silent", "tag")
+
+    def __init__(self, tag: str, above: _Open | None, marks: frozenset[int]):
+        self.tag = tag
+        self.features = marks if above is None else above.features if marks <= above.features else above.features | marks
+        self.links = (above is not None and above.links) or tag == "a"
+        self.silent = (above is not None and above.silent) or tag in _SILENT
+        self.inner = tag if tag not in _INLINE else above.inner if above else "body"
+        self.inside = above is not None and above.inside
+        if tag in ("article", "main") or _F["class-main"] in marks:
+            self.inside = True
+        elif tag in ("aside", "nav", "footer", "form", "header") or marks & _OUTER:
+            self.inside = False
+
+
+class _Stack:
+    """The open elements; the places of each tag's are known."""
+
+    def __init__(self):
+        self.items: list[_Open] = []
+        self.places: dict[str, list[int]] = {}
+        self.blocks: list[int] = []  # places of elements that are not inline
+
+    @property
+    def top(self) -> _Open:
+        return self.items[-1] if self.items else _ROOT
+
+    def push(self, tag: str, marks: frozenset[int]) -> None:
+        self.places.setdefault(tag, []).append(len(self.items))
+        if tag not in _INLINE:
+            self.blocks.append(len(self.items))
+        self.items.append(_Open(tag, self.items[-1] if self.items else None, marks))
+
+    def cut(self, place: int) -> None:
+        """Close all elements from ``place`` on."""
+        while len(self.items) > place:
+            x = self.items.pop()
+            self.places[x.tag].pop()
+            if x.tag not in _INLINE:
+                self.blocks.pop()
+
+    def last(self, tags: set[str]) -> int:
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=-1)
+
+    def close(self, tags: set[str], fence: set[str]) -> None:
+        """Close the innermost of ``tags``, if no element of ``fence`` is open in it."""
+        at = self.last(tags)
+        if at >= 0 and at >= self.last(fence):
+            self.cut(at)
+
+    def end(self, tag: str) -> None:
+        """An end tag; one of an inline element does not close a block around it."""
+        held = self.places.get(tag)
+        if held and (tag not in _INLINE or not self.blocks or held[-1] > self.blocks[-1]):
+            self.cut(held[-1])
+
+
 def blocks(page: str) -> list[_Block]:
     """The page's leaf blocks with text, in page order."""
-    stack: list[tuple[str, frozenset[int]]] = []
+    stack = _Stack()
     out: list[_Block] = []
     text: list[str] = []
-    state = {"linked": 0, "chars": 0}
+    linked = chars = 0
 
     def close_block() -> None:
-        words = "".join(text).split()
-        text.clear()
-        if words:
-            joined = " ".join(words)
-            silent = any(t in _SILENT for t, _ in stack)
-            if not silent:
-                out.append(_Block(joined, _features(joined, len(words), stack, state["linked"] * 2 > state["chars"])))
-        state["linked"] = state["chars"] = 0
-
-    at, n = 0, len(page)
+        nonlocal linked, chars
+        if text:
+            words = "".join(text).split()
+            text.clear()
+            if words and not stack.top.silent:
+                joined = " ".join(words)
+                out.append(_Block(joined, _features(joined, len(words), stack.top, linked * 2 > chars)))
+        linked = chars = 0
+
+    def add(piece: str) -> None:
+        nonlocal linked, chars
+        text.append(piece)
+        chars += len(piece)
+        if stack.top.links:
+            linked += len(piece)
+
+    at, n, last_end = 0, len(page), page.rfind(">")
     raw_end: dict[str, re.Pattern] = {}
+    endless: set[str] = set()
     while at < n:
-        m = _TOKEN.match(page, at)
+        start = page.find("<", at)
+        if start < 0 or (start > last_end and not page.startswith(("<!", "<?"), start)):
+            start = n  # no tag ends behind it
+        if start > at:
+            add(entities.unescape(page[at:start]))
+            at = start
+            continue
+        if page.startswith("<!--", at):
+            end = page.find("-->", at + 4)
+            at = end + 3 if end >= 0 else n
+            continue
+        if page.startswith(("<!", "<?"), at):
+            end = page.find(">", at)
+            at = end + 1 if end >= 0 else n
+            continue
+        m = _TAG.match(page, at) or _LOOSE_TAG.match(page, at)
         if m is None:
+            add("<")
             at += 1
             continue
         at = m.end()
-        tag = m.group(2)
-        if tag is None:
-            token = m.group()
-            if token[0] != "<" or token == "<":
-                piece = entities.unescape(token)
-                text.append(piece)
-                size = len(piece)
-                state["chars"] += size
-                if any(t == "a" for t, _ in stack):
-                    state["linked"] += size
-            continue
-        tag = tag.lower()
+        tag = m.group(2).lower()
         if m.group(1):
             if tag not in _INLINE:
                 close_block()
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == tag:
-                    del stack[i:]
-                    break
-                if tag in _INLINE and stack[i][0] not in _INLINE:
-                    break
+            stack.end(tag)
             continue
         if tag in _RAW:
-            if not m.group(3).rstrip().endswith("/"):
-                end = raw_end.setdefault(tag, re.compile(rf"</{tag}\b[^>]*>", re.I)).search(page, at)
-                at = end.end() if end else n
+            end = raw_end.setdefault(tag, re.compile(rf"</{tag}\b", re.I)).search(page, at) if tag not in endless else None
+            if end and end.end() <= last_end:
+                at = page.find(">", end.end()) + 1
+            elif tag in _TO_THE_END:
+                at = n
+            else:  # not read over; no later one has an end either
+                endless.add(tag)
             text.append(" ")
             continue
         if tag == "br":
             text.append(" ")
             continue
+        if stack.places.get("head") and tag not in _IN_HEAD:
+            close_block()
+            stack.cut(stack.places["head"][-1])
         if tag not in _INLINE:
             close_block()
-            if tag == "body":
-                stack[:] = [x for x in stack if x[0] != "head"]
             if tag in _CLOSES_P:
-                _close(stack, {"p"}, {"button", "table", "td", "th", "div", "article", "section", "aside"})
+                stack.close({"p"}, {"button", "table", "td", "th", "div", "article", "section", "aside"})
             if tag in _SELF_CLOSING:
-                _close(stack, *_SELF_CLOSING[tag])
+                stack.close(*_SELF_CLOSING[tag])
         if tag not in _VOID and not (m.group(3).rstrip().endswith("/") and tag in _INLINE):
-            stack.append((tag, _marks(tag, m.group(3))))
+            stack.push(tag, _marks(tag, m.group(3)))
     close_block()
     return out
 
 
-def _close(stack: list, tags: set[str], fence: set[str]) -> None:
-    for i in range(len(stack) - 1, -1, -1):
-        if stack[i][0] in tags:
-            del stack[i:]
-            return
-        if stack[i][0] in fence:
-            return
-
-
-def _features(text: str, n: int, stack: list, linked: bool) -> list[int]:
-    out = {_F["bias"]}
-    for _, marks in stack:
-        out |= marks
-    inner = next((t for t, _ in reversed(stack) if t not in _INLINE), "body")
-    if f"at-{inner}" in _F:
-        out.add(_F[f"at-{inner}"])
-    inside = False
-    for t, marks in stack:
-        if t in ("article", "main") or _F["class-main"] in marks:
-            inside = True
-        elif t in ("aside", "nav", "footer", "form", "header") or marks & _OUTER:
-            inside = False
-    if inside:
+def _features(text: str, n: int, at: _Open, linked: bool) -> list[int]:
+    out = {_F["bias"], *at.features}
+    if f"at-{at.inner}" in _F:
+        out.add(_F[f"at-{at.inner}"])
+    if at.inside:
         out.add(_F["inner-main"])
     if linked:
         out.add(_F["in-link"])
@@ -196,6 +262,7 @@ def _features(text: str, n: int, stack: list, linked: bool) -> list[int]:
 
 
 _OUTER = frozenset(_F[f"class-{c}"] for c in ("ad", "comment", "menu", "side", "foot", "notice", "share", "form"))
+_ROOT = _Open("body", None, frozenset())
 
 
 def training_pages(n: int = 500, seed: int = 3) -> list[tuple[str, list[int]]]:
@@ -301,7 +368,7 @@ def training_pages(n: int = 500, seed: int = 3) -> list[tuple[str, list[int]]]:
 
 @lru_cache(maxsize=1)
 def trained() -> ChainCRF:
-    """The CRF, trained on first use in a process; the same everywhere."""
+    """The CRF; trained once, on the driver, and broadcast."""
     xs, ys = [], []
     for page, y in training_pages():
         x = [b.features for b in blocks(page)]
@@ -322,11 +389,10 @@ def extract(pages: DataFrame) -> DataFrame:
     """``pages`` with the main text of its column html; the name gets a leading underscore where taken."""
     at = pages.columns.index("html")
     schema = T.StructType([*pages.schema.fields, T.StructField(fresh("text", pages.columns), T.StringType())])
-    # Training starts here, so that a failure shows before any task runs; tasks train once a process.
-    trained()
+    cast = pages.sparkSession.sparkContext.broadcast(trained())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        crf = trained()
+        crf = cast.value
         for b in batches:
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array([main_text(x, crf) for x in b.column(at).to_pylist()], pa.string())], names=schema.names)
 

@@ -156,7 +156,7 @@ def training_lines(n: int = 400, seed: int = 11) -> list[list[tuple[bytes, int]]
 
 @lru_cache(maxsize=1)
 def trained() -> ChainCRF:
-    """The CRF, trained on first use in a process; the same everywhere."""
+    """The CRF; trained once, on the driver, and broadcast."""
     rows = training_lines()
     features = [sequence(b"\n".join(x for x, _ in s))[1] for s in rows]
     return ChainCRF(N_FEATURES).fit(features, [[y for _, y in s] for s in rows])
@@ -208,9 +208,10 @@ def judge(docs: DataFrame, share: float = CONTENT_SHARE) -> DataFrame:
     names = [fresh(n, docs.columns) for n, _, _ in _ADDED]
     at = docs.columns.index("text")
     schema = T.StructType([*docs.schema.fields, *(T.StructField(n, t) for n, (_, _, t) in zip(names, _ADDED))])
+    cast = docs.sparkSession.sparkContext.broadcast(trained())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        crf = trained()
+        crf = cast.value
         for b in batches:
             rows = [measure(t, crf, share) for t in b.column(at).cast(pa.large_binary()).to_pylist()]
             columns = list(zip(*rows)) or [()] * len(_ADDED)
