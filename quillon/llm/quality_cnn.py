@@ -1,7 +1,7 @@
 """Quality classifier: a byte-level convolutional network in numpy.
 
 Every byte has a learned vector; learned filters of ``WIDTH`` bytes slide over
-the whole document.  The document is covered by overlapping chunks of ``CHUNK``
+the whole document, byte by byte to its last one.  The document is covered by overlapping chunks of ``CHUNK``
 bytes (each half a chunk after the last); a filter's responses are max-pooled
 over each chunk, and the chunks' pooled vectors are combined (their mean and
 their maximum over the document) by a logistic layer into one probability.
@@ -15,7 +15,9 @@ Defined cases: null counts as empty; an empty text has the score that the last
 layer's bias gives; with no usable label, or no text that fits, all
 scores are 0.5.  Labels that
 repeat a doc_id with different values are not learned from.  Repeated rows and
-repeated or null doc_ids give a row each.
+repeated or null doc_ids give a row each.  A text of any length is read in
+blocks of ``_BLOCK`` bytes.  Extra columns are not read: the result has doc_id and
+score, to be joined where more is wanted.
 """
 
 from __future__ import annotations
@@ -33,13 +35,17 @@ TRAIN_ROWS = 3000
 TRAIN_BYTES = 12 << 20
 CHUNK = 1024
 WIDTH = 6
-STRIDE = 2
 DIM = 4
 FILTERS = 32
 THRESHOLD = 0.3
 _BLOCK = 1 << 16
 
 
+def _padded(text: bytes) -> np.ndarray:
+    x = np.frombuffer(text, dtype=np.uint8)
+    return x if len(x) >= WIDTH else np.concatenate((x, np.zeros(WIDTH - len(x), dtype=np.uint8)))
+
+
 class ByteCNN:
     def __init__(self, seed: int = 5):
         r = np.random.default_rng(seed)
@@ -52,33 +58,35 @@ class ByteCNN:
     def params(self) -> list[np.ndarray]:
         return [self.embed, self.filters, self.bias, self.last, self.last_bias]
 
-    def pooled(self, text: bytes) -> tuple[np.ndarray, np.ndarray]:
-        """Each chunk's greatest filter responses, and the byte places they start at."""
-        x = np.frombuffer(text, dtype=np.uint8)
-        if len(x) < WIDTH + STRIDE:
-            x = np.concatenate((x, np.zeros(WIDTH + STRIDE - len(x), dtype=np.uint8)))
-        half = CHUNK // 2 // STRIDE
+    def pooled(self, text: bytes, where: bool = True) -> tuple[np.ndarray, np.ndarray | None]:
+        """Each chunk's greatest filter responses, and the byte places they start at (None if not asked for)."""
+        x = _padded(text)
+        half = CHUNK // 2
         tops, places = [], []
-        n_all = (len(x) - WIDTH) // STRIDE + 1
-        step = max(half, _BLOCK // STRIDE // half * half)
-        for s in range(0, n_all, step):
-            n = min(step, n_all - s)
-            e = self.embed[x[s * STRIDE : (s + n - 1) * STRIDE + WIDTH]]
-            w = np.lib.stride_tricks.as_strided(e, (n, WIDTH * DIM), (STRIDE * DIM * 4, 4))
+        n_all = len(x) - WIDTH + 1
+        for s in range(0, n_all, _BLOCK):
+            n = min(_BLOCK, n_all - s)
+            e = self.embed[x[s : s + n + WIDTH - 1]]
+            w = np.lib.stride_tricks.as_strided(e, (n, WIDTH * DIM), (DIM * 4, 4))
             out = w @ self.filters
+            if not where:
+                tops.append(np.maximum.reduceat(out, np.arange(0, n, half), axis=0))
+                continue
             for a in range(0, n, half):
                 part = out[a : a + half]
                 at = part.argmax(axis=0)
-                tops.append(part[at, np.arange(FILTERS)])
-                places.append((s + a + at) * STRIDE)
-        tops, places = np.array(tops), np.array(places)
-        if len(tops) > 1:  # overlapping chunks are pairs of neighbouring halves
-            later = tops[1:] > tops[:-1]
-            tops, places = np.where(later, tops[1:], tops[:-1]), np.where(later, places[1:], places[:-1])
-        return tops, places
-
-    def forward(self, text: bytes):
-        tops, places = self.pooled(text)
+                tops.append(part[at, np.arange(FILTERS)][None])
+                places.append(s + a + at)
+        top = np.concatenate(tops)
+        place = np.array(places) if where else None
+        if len(top) > 1:  # overlapping chunks are pairs of neighbouring halves
+            if where:
+                place = np.where(top[1:] > top[:-1], place[1:], place[:-1])
+            top = np.maximum(top[:-1], top[1:])
+        return top, place
+
+    def forward(self, text: bytes, where: bool = True):
+        tops, places = self.pooled(text, where)
         act = np.maximum(tops + self.bias, 0)
         best = act.argmax(axis=0)
         v = np.concatenate((act.mean(axis=0), act[best, np.arange(FILTERS)]))
@@ -87,7 +95,7 @@ class ByteCNN:
     def score(self, text: bytes | None) -> float:
         if not text:
             return float(1 / (1 + np.exp(-self.last_bias[0])))
-        z = self.forward(text)[-1]
+        z = self.forward(text, where=False)[-1]
         return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
     def grads(self, text: bytes, label: int) -> list[np.ndarray]:
@@ -99,9 +107,7 @@ class ByteCNN:
         g = np.repeat((d * self.last[None, :FILTERS] / len(act)), len(act), axis=0)
         g[best, np.arange(FILTERS)] += d * self.last[FILTERS:]
         g *= act > 0
-        x = np.frombuffer(text, dtype=np.uint8)
-        if len(x) < WIDTH + STRIDE:
-            x = np.concatenate((x, np.zeros(WIDTH + STRIDE - len(x), dtype=np.uint8)))
+        x = _padded(text)
         c, f = np.nonzero(g)
         gf = np.zeros_like(self.filters)
         ge = np.zeros_like(self.embed)

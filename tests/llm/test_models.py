@@ -8,7 +8,7 @@ import time
 import numpy as np
 import pytest
 
-from quillon.llm import html_text, line_quality
+from quillon.llm import html_text, line_quality, quality_cnn
 from quillon.llm.crf import ChainCRF
 
 
@@ -172,3 +172,49 @@ def test_pages_are_read_in_linear_time(page):
     began = time.thread_time()
     html_text.blocks(page)
     assert time.thread_time() - began < 8  # a quadratic reading takes minutes
+
+
+def plain_score(net, text):
+    """The network as its docstring has it, a byte and a chunk at a time."""
+    x = list(text) + [0] * (quality_cnn.WIDTH - len(text))
+    out = np.array([np.concatenate([net.embed[b] for b in x[i : i + quality_cnn.WIDTH]]).astype(np.float64) @ net.filters for i in range(len(x) - quality_cnn.WIDTH + 1)])
+    half = quality_cnn.CHUNK // 2
+    tops = np.array([out[i : i + 2 * half].max(axis=0) for i in range(0, max(len(out) - half, 1), half)])
+    act = np.maximum(tops + net.bias, 0)
+    return float(1 / (1 + np.exp(-(np.concatenate((act.mean(axis=0), act.max(axis=0))) @ net.last + net.last_bias[0]))))
+
+
+def some_net():
+    net = quality_cnn.ByteCNN(3)
+    r = np.random.default_rng(4)
+    net.last[:], net.bias[:], net.last_bias[:] = r.normal(size=len(net.last)) / 9, r.normal(size=len(net.bias)), 0.2
+    return net
+
+
+@pytest.mark.parametrize("n", [1, 5, 6, 7, 8, 511, 512, 513, 517, 518, 1000, 1001, 1029, 1030, 2500, 70_001])
+def test_scores_against_a_plain_network(n):
+    net = some_net()
+    text = random.Random(n).randbytes(n)
+    assert abs(net.score(text) - plain_score(net, text)) < 1e-4
+    changed = [bytes([*text[:-1], b]) for b in range(256)]
+    if n <= 1001:
+        assert len({net.score(t) for t in changed}) > 1  # the last byte is read
+    tops, places = net.pooled(text)
+    assert np.allclose(tops, net.pooled(text, where=False)[0]) and places.max() <= max(n - quality_cnn.WIDTH, 0)
+
+
+def test_gradients_by_differences():
+    net = some_net()
+    text, label = random.Random(1).randbytes(1700), 1
+    loss = lambda: -math.log(net.score(text))
+    for p, g in zip(net.params(), net.grads(text, label)):
+        flat = np.abs(g).ravel()
+        for i in np.argsort(-flat)[:5]:
+            at = np.unravel_index(i, p.shape)
+            held = p[at]
+            p[at] = held + 1e-3
+            up = loss()
+            p[at] = held - 1e-3
+            down = loss()
+            p[at] = held
+            assert abs((up - down) / 2e-3 - g[at]) < 0.05 * abs(g[at]) + 2e-3
