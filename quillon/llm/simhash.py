@@ -11,10 +11,12 @@ pruned when it exceeds the budget.  Links leave a task as a star per group of
 linked fingerprints, never as all pairs.
 
 A bucket of more than ``BUCKET`` fingerprints (a very dense group of near
-copies) is not handed to one task.  There each fingerprint walks the trie once
-along its own path and once for each single flipped free bit; two fingerprints
-within two bits meet at a common leaf.  A leaf has at most 33 visitors, so no
-group grows with the data, and no link is lost.
+copies) is not handed to one task.  Its trie is joined with itself ``STEP``
+levels at a time as tables: nodes with their counts, and node pairs with their
+differing bits, which go down to the pairs of their children and drop out beyond
+the budget.  A node pair that holds at most ``BUCKET`` fingerprints is a cell
+that one task traverses to the end; so no task's share grows with the data, and
+no link is lost.
 
 Defined cases: null, empty or word-free text has fingerprint zero, linked like
 any other.  Repeated rows and repeated doc_ids give a row each.  Rows without
@@ -37,6 +39,7 @@ from .components import components
 
 BUDGET = 2
 BUCKET = 1024
+STEP = 4  # levels of the trie between two tables of node pairs
 SHINGLE = 3
 _LOWER = bytes((b + 32 if 65 <= b <= 90 else b) for b in range(256))
 _BLOCKS = [(i, j) for i in range(4) for j in range(i + 1, 4)]
@@ -87,11 +90,26 @@ def trie_links(keys: np.ndarray, starts: np.ndarray, depth: int = 32, budget: in
     together and drop out when their differing bits exceed the budget.
     """
     lo, hi = starts[:-1], starts[1:]
-    big = hi - lo > 1
-    a0, a1 = lo[big], hi[big]
-    b0, b1 = a0.copy(), a1.copy()
-    bits = np.zeros(len(a0), dtype=np.int64)
+    return _descend(keys, lo, hi, lo, hi, np.zeros(len(lo), dtype=np.int64), depth, budget)
+
+
+def _descend(keys: np.ndarray, a0: np.ndarray, a1: np.ndarray, b0: np.ndarray, b1: np.ndarray, bits: np.ndarray, depth: int, budget: int = BUDGET) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs within ``budget`` bits under node pairs (ranges of ``keys``) that differ in ``bits`` bits above ``depth``."""
     left, right = [], []
+
+    def leaves() -> None:
+        nonlocal a0, a1, b0, b1, bits
+        gone = (a0 == b0) & (a1 - a0 < 2)
+        leaf = (a1 - a0 == 1) & (b1 - b0 == 1) & ~gone
+        if leaf.any():
+            x, y = a0[leaf], b0[leaf]
+            near = np.bitwise_count(keys[x] ^ keys[y]) <= budget
+            left.append(x[near])
+            right.append(y[near])
+        if leaf.any() or gone.any():
+            a0, a1, b0, b1, bits = (z[~leaf & ~gone] for z in (a0, a1, b0, b1, bits))
+
+    leaves()
     for level in range(depth - 1, -1, -1):
         if not len(a0):
             break
@@ -106,13 +124,7 @@ def trie_links(keys: np.ndarray, starts: np.ndarray, depth: int = 32, budget: in
                 keep &= only
             nxt.append([x[keep] for x in (p0, p1, q0, q1, d)])
         a0, a1, b0, b1, bits = (np.concatenate(x) for x in zip(*nxt))
-        leaf = (a1 - a0 == 1) & (b1 - b0 == 1)
-        if leaf.any():
-            x, y = a0[leaf], b0[leaf]
-            near = np.bitwise_count(keys[x] ^ keys[y]) <= budget
-            left.append(x[near])
-            right.append(y[near])
-            a0, a1, b0, b1, bits = (z[~leaf] for z in (a0, a1, b0, b1, bits))
+        leaves()
     if not left:
         return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
     return np.concatenate(left), np.concatenate(right)
@@ -169,24 +181,93 @@ def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield link(*held)
 
 
+_CELL = ["pair", "top", "level", "a", "b"]
+
+
+def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Star links of whole cells, from rows sorted by cell, side and free bits."""
+    held: list[np.ndarray] = []
+
+    def link(cell: list[np.ndarray], bits: np.ndarray, side: np.ndarray, free: np.ndarray, rep: np.ndarray) -> pa.RecordBatch:
+        keys = free.view(np.uint64)
+        new = np.flatnonzero(np.concatenate(([True], np.any([x[1:] != x[:-1] for x in cell], axis=0))))
+        end = np.concatenate((new[1:], [len(keys)]))
+        whole = cell[3][new] == cell[4][new]
+        middle = np.where(whole, new, new + np.add.reduceat(side == 0, new))
+        stop = np.where(whole, end, middle)
+        x, y = [], []
+        for level in np.unique(cell[2]).tolist():  # bits above have been compared
+            own = cell[2][new] == level
+            got = _descend(keys, new[own], stop[own], middle[own], end[own], bits[new[own]].astype(np.int64), 32 - STEP * level)
+            x.append(got[0])
+            y.append(got[1])
+        u, v = _stars(len(keys), np.concatenate(x), np.concatenate(y), rep)
+        return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
+
+    def parts(rows: list[np.ndarray]) -> tuple:
+        return rows[:5], *rows[5:]
+
+    for b in batches:
+        if not b.num_rows:
+            continue
+        rows = [b[c].to_numpy(zero_copy_only=False) for c in (*_CELL, "bits", "side", "free", "rep")]
+        if held:
+            rows = [np.concatenate(x) for x in zip(held, rows)]
+        other = np.flatnonzero(np.any([x != x[-1] for x in rows[:5]], axis=0))
+        last = int(other[-1]) + 1 if len(other) else 0
+        held = [x[last:] for x in rows]
+        if last:
+            yield link(*parts([x[:last] for x in rows]))
+    if held and len(held[0]):
+        yield link(*parts(held))
+
+
+def _dense_cells(rows: DataFrame, hot: DataFrame, bucket: int) -> DataFrame:
+    """The rows (pair, top, free, rep) of hot buckets under each cell of their tries' self-join."""
+    masks = [m for m in range(1 << STEP) if m.bit_count() <= BUDGET]
+    key = ["pair", "top"]
+    open_ = hot.select(*key, F.lit(0).cast("long").alias("a"), F.lit(0).cast("long").alias("b"), F.lit(0).alias("bits"))
+    out = None
+    for level in range(1, 32 // STEP + 1):
+        node = F.shiftrightunsigned("free", 32 - STEP * level)
+        nodes = cut(rows.groupBy(*key, node.alias("node")).agg(F.count("*").alias("n")))
+        of_a = nodes.select(*key, F.shiftrightunsigned("node", STEP).alias("a"), F.col("node").alias("child"), F.col("n").alias("n_a"))
+        moves = F.array(*[F.struct(F.lit(m).cast("long").alias("flip"), F.lit(m.bit_count()).alias("more")) for m in masks])
+        pairs = open_.join(of_a, [*key, "a"]).select(*key, F.col("a").alias("above"), "b", "bits", "child", "n_a", F.explode(moves).alias("m")).filter(F.col("bits") + F.col("m.more") <= BUDGET)
+        below = F.shiftleft("b", STEP) + F.col("child").bitwiseAND(F.lit((1 << STEP) - 1).cast("long")).bitwiseXOR(F.col("m.flip"))
+        pairs = pairs.select(*key, "above", F.col("b").alias("beside"), F.col("child").alias("a"), below.alias("b"), (F.col("bits") + F.col("m.more")).alias("bits"), "n_a")
+        pairs = pairs.filter("above <> beside or a <= b")
+        pairs = pairs.join(nodes.select(*key, F.col("node").alias("b"), F.col("n").alias("n_b")), [*key, "b"])
+        pairs = cut(pairs.withColumn("n", F.when(F.col("a") == F.col("b"), F.col("n_a")).otherwise(F.col("n_a") + F.col("n_b"))).filter("n > 1").select(*key, "a", "b", "bits", "n"))
+        last = level == 32 // STEP
+        closed = pairs if last else pairs.filter(F.col("n") <= bucket)
+        sides = F.when(F.col("a") == F.col("b"), F.array(F.struct(F.col("a").alias("node"), F.lit(0).alias("side")))).otherwise(F.array(F.struct(F.col("a").alias("node"), F.lit(0).alias("side")), F.struct(F.col("b").alias("node"), F.lit(1).alias("side"))))
+        closed = closed.select(*key, F.lit(level).alias("level"), "a", "b", "bits", F.explode(sides).alias("s")).select(*key, "level", "a", "b", "bits", "s.node", "s.side")
+        cells = rows.withColumn("node", node).join(closed, [*key, "node"]).select(*_CELL, "bits", "side", "free", "rep")
+        out = cells if out is None else out.unionByName(cells)
+        if last:
+            break
+        open_ = pairs.filter(F.col("n") > bucket).select(*key, "a", "b", "bits")
+        if open_.isEmpty():
+            break
+    return out
+
+
 def links(reps: DataFrame, bucket: int = BUCKET) -> DataFrame:
     """(u, v): links that connect representatives ``reps(fp, rep)`` within the budget."""
     block = lambda i: F.shiftrightunsigned("fp", 16 * i).bitwiseAND(F.lit(0xFFFF).cast("long"))
-    tops = F.array(*[F.struct(F.lit(p).alias("pair"), (F.shiftleft(block(i), 16) + block(j)).alias("top")) for p, (i, j) in enumerate(_BLOCKS)])
-    rows = reps.filter("rep is not null").select("fp", "rep", F.explode(tops).alias("t")).select("t.pair", "t.top", "fp", "rep")
+    joined = lambda i, j: F.shiftleft(block(i), 16) + block(j)
+    tops = F.array(*[F.struct(F.lit(p).alias("pair"), joined(*x).alias("top"), joined(*(b for b in range(4) if b not in x)).alias("free")) for p, x in enumerate(_BLOCKS)])
+    rows = reps.filter("rep is not null").select("fp", "rep", F.explode(tops).alias("t")).select("t.pair", "t.top", "t.free", "fp", "rep")
     hot = cut(rows.groupBy("pair", "top").count().filter(F.col("count") > bucket).select("pair", "top"))
-    calm = rows.join(hot, ["pair", "top"], "left_anti")
+    calm = rows.join(hot, ["pair", "top"], "left_anti").select("pair", "top", "fp", "rep")
     n = int(reps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     found = calm.repartition(n, "pair", "top").sortWithinPartitions("pair", "top").mapInArrow(_walk, "u long, v long")
-    free = F.element_at(F.array(*[F.array(*[F.lit(1 << (16 * b + k) if 16 * b + k < 63 else -(1 << 63)).cast("long") for b in range(4) if b not in x for k in range(16)]) for x in _BLOCKS]), F.col("pair") + 1)
-    leaves = (
-        rows.join(hot, ["pair", "top"], "left_semi")
-        .select("pair", "fp", "rep", F.explode(F.concat(F.array(F.lit(0).cast("long")), free)).alias("flip"))
-        .select("pair", F.col("fp").bitwiseXOR(F.col("flip")).alias("leaf"), "rep")
-    )
-    met = leaves.groupBy("pair", "leaf").agg(F.collect_list("rep").alias("reps")).filter(F.size("reps") > 1)
-    dense = met.select(F.explode("reps").alias("u"), F.array_min("reps").alias("v")).filter("u <> v")
-    return found.unionByName(dense)
+    if hot.isEmpty():
+        return found
+    dense = cut(rows.join(hot, ["pair", "top"], "left_semi").select("pair", "top", "free", "rep"))
+    cells = _dense_cells(dense, hot, bucket)
+    return found.unionByName(cells.repartition(n, *_CELL).sortWithinPartitions(*_CELL, "side", "free").mapInArrow(_cells, "u long, v long"))
 
 
 def near_duplicates(docs: DataFrame, bucket: int = BUCKET) -> DataFrame:

@@ -39,6 +39,29 @@ def test_simhash_dense_bucket(spark, small):
     assert sorted(tuple(r) for r in simhash.near_duplicates(small, bucket=1).select("doc_id", "component_id").collect()) == want
 
 
+@pytest.mark.parametrize("bucket", [1, 20, 300])
+def test_simhash_dense_tries_are_joined_in_cells(spark, bucket):
+    r = random.Random(bucket)
+    centre = r.getrandbits(64)
+    fps = sorted({centre ^ sum({1 << r.choice((r.randrange(64), 3, 60, r.randrange(20))) for _ in range(r.randrange(5))}) for _ in range(900)})
+    reps = spark.createDataFrame([(f - (1 << 64) if f >> 63 else f, i) for i, f in enumerate(fps)], "fp long, rep long").repartition(3)
+    root = list(range(len(fps)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, a in enumerate(fps):
+        for j in range(i):
+            if (a ^ fps[j]).bit_count() <= 2:
+                x, y = sorted((find(i), find(j)))
+                root[y] = x
+    want = {i: find(i) for i in range(len(fps)) if find(i) != i}
+    got = {r.node: r.component for r in components.components(simhash.links(reps, bucket)).collect()}
+    assert {k: v for k, v in got.items() if k != v} == want
+
+
 def test_trie_links_are_all_close_pairs():
     r = random.Random(5)
     centre = r.getrandbits(64)
