@@ -9,17 +9,26 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Bytes of text for each bucket of a packed shuffle.
+#: Bytes of text for each bucket of documents in a packed shuffle.
 BUCKET_BYTES = 8 << 20
+#: Buckets that a chunk's keys (words, anchors) are dealt to, at most.  More
+#: would leave only a few keys in each block; a bucket is read as a stream, so
+#: its size is not bounded by memory.
+MOST_KEY_BUCKETS = 4096
 
 
-def buckets(docs: DataFrame) -> int:
-    """Buckets for a packed shuffle of what ``docs.text`` gives: in proportion to its bytes.
+def text_bytes(docs: DataFrame) -> int:
+    return int(docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
 
-    At least as many as the session's shuffle partitions.
-    """
-    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    return max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-int(size) // BUCKET_BYTES))
+
+def buckets(docs: DataFrame, size: int = BUCKET_BYTES, most: int | None = None) -> int:
+    """Buckets of about ``size`` bytes of ``docs.text``, no fewer than the session's shuffle partitions, no more than ``most``."""
+    n = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-text_bytes(docs) // size))
+    return min(n, most) if most else n
+
+
+def key_buckets(n: int) -> int:
+    return min(n, MOST_KEY_BUCKETS)
 
 
 def _planes(a: np.ndarray) -> bytes:

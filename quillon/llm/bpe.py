@@ -7,7 +7,8 @@
    and the chunk's words are listed once each, in hash buckets.
 2. The buckets of all chunks are shuffled by bucket, so that all occurrences of
    a word meet, and each distinct word is encoded once.  A frequent word comes
-   once from each chunk, not once for each occurrence.
+   once from each chunk, not once for each occurrence.  A bucket is read as a
+   stream of blocks; a word is encoded again only if ``KNOWN`` others came since.
 3. The ids go back to the chunks they were asked by.
 4. Each chunk's texts are reassembled from its word numbers and its words' ids.
    A chunk has a bounded size, so this is a bounded group.
@@ -18,9 +19,15 @@ and the numbers wait for their ids where they are.  Decoding
 looks every id up in the token-byte table, which has the fixed size of the
 vocabulary.
 
+Buckets of chunks follow the bytes of the input up to ``MOST_BUCKETS`` (a
+bucketed table has a limit), buckets of words up to ``MOST_KEY_BUCKETS``.  Beyond
+these they hold more chunks and more blocks each, which are read in sequence;
+what a task holds in memory is a chunk, a block, and the words it knows.
+
 Defined cases: null text counts as empty and gives no ids; a text longer than a
 chunk is a chunk of its own; repeated rows, repeated or null doc_ids give a row
-each; columns of any name ride along.
+each; columns of any name ride along, and a new column whose name is taken gets
+a leading underscore.
 """
 
 from __future__ import annotations
@@ -41,11 +48,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .blocks import buckets, squeeze, squeeze_strings, unsqueeze, unsqueeze_strings
+from .blocks import buckets, key_buckets, squeeze, squeeze_strings, unsqueeze, unsqueeze_strings
 from .common import fresh, staged_by, table
 
 CHUNK_BYTES = 24 << 20  # of characters, of one chunk of texts
-
+MOST_BUCKETS = 32_768  # of chunks
+KNOWN = 500_000  # words of a bucket remembered in each of two turns
 
 BLOCK_WORDS = 1 << 19  # word numbers in one compressed block
 WORDS, ORDER, NUMBERS, TEXTS = range(4)  # kinds of staged rows
@@ -190,21 +198,26 @@ def _cutter(pattern: str, at: int, names: list[str], n_buckets: int):
 def _encode_bucket(path: str):
     """All chunks' lists of one bucket of words: each distinct word is encoded once."""
 
-    def run(asked: pa.Table) -> pa.Table:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = _ranks(path)
         known: dict[bytes, list[int]] = {}
-        answers = []
-        for block in asked["block"].to_pylist():
-            ids: list[int] = []
-            sizes = []
-            for w in unsqueeze_strings(block):
-                got = known.get(w)
-                if got is None:
-                    got = known[w] = encode_word(w, ranks)
-                sizes.append(len(got))
-                ids += got
-            answers.append(squeeze(np.array(sizes, dtype=np.uint32), np.array(ids, dtype=np.uint32)))
-        return pa.table({"chunk": asked["chunk"], "bucket": asked["bucket"], "block": pa.array(answers, pa.binary())})
+        older: dict[bytes, list[int]] = {}
+        for asked in batches:
+            answers = []
+            for block in asked["block"].to_pylist():
+                ids: list[int] = []
+                sizes = []
+                for w in unsqueeze_strings(block):
+                    got = known.get(w)
+                    if got is None:
+                        got = older.get(w)
+                        if len(known) >= KNOWN:
+                            known, older = {}, known
+                        known[w] = got = encode_word(w, ranks) if got is None else got
+                    sizes.append(len(got))
+                    ids += got
+                answers.append(squeeze(np.array(sizes, dtype=np.uint32), np.array(ids, dtype=np.uint32)))
+            yield pa.RecordBatch.from_arrays([asked["chunk"], asked["bucket"], pa.array(answers, pa.binary())], ["chunk", "bucket", "block"])
 
     return run
 
@@ -224,8 +237,8 @@ def encode(docs: DataFrame, path: str | None = None, pattern: str | None = None,
     kept = T.StructType([T.StructField(n, f.dataType) for n, f in zip(rest, kinds)])
     cut_schema = T.StructType([*T.StructType.fromDDL("chunk string, kind int, nr int, block binary").fields, *kept])
     source = docs.select(*[F.col(f"`{c}`").alias("text" if i == at else f"c{i}") for i, c in enumerate(docs.columns)])
-    n = buckets(docs)
-    parts = staged_by(source.mapInArrow(_cutter(pattern, at, rest, n), cut_schema), "bpe", "chunk", n)
+    n = buckets(docs, most=MOST_BUCKETS)
+    parts = staged_by(source.mapInArrow(_cutter(pattern, at, rest, key_buckets(n)), cut_schema), "bpe", "chunk", n)
 
     asked = parts.filter(F.col("kind") == WORDS).select("chunk", F.col("nr").alias("bucket"), "block")
     answers = asked.select(F.col("chunk").alias("chunk"), "bucket", "block").groupBy("bucket").applyInArrow(_encode_bucket(path), "chunk string, bucket int, block binary")
@@ -293,13 +306,14 @@ def decode(coded: DataFrame, path: str | None = None) -> DataFrame:
     """``coded`` with its column ``ids`` (as ``encode`` makes it) replaced by ``text``; null stays null."""
     path = path or default_vocabulary()[0]
     others = [c for c in coded.columns if c != "ids"]
-    schema = T.StructType([coded.schema[c] for c in others] + [T.StructField("text", T.StringType())])
+    name = fresh("text", others)
+    schema = T.StructType([coded.schema[c] for c in others] + [T.StructField(name, T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = _tokens(path)
         for b in batches:
             texts = [None if x is None else decode_ids(np.frombuffer(x, dtype="<u4"), tokens).decode("utf-8", "replace") for x in b["ids"].to_pylist()]
-            yield pa.RecordBatch.from_arrays([*(b[c] for c in others), pa.array(texts, pa.string())], [*others, "text"])
+            yield pa.RecordBatch.from_arrays([*(b[c] for c in others), pa.array(texts, pa.string())], [*others, name])
 
     return coded.select(*others, "ids").mapInArrow(run, schema)
 

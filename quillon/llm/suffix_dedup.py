@@ -4,13 +4,14 @@ A byte goes if a ``LENGTH``-byte string that covers it also starts in a
 document with a smaller doc_id.  Strings are judged on the input and never
 cross documents.
 
-1. Every string (window) has an anchor: the K-byte gram in it with the least
-   hash, the leftmost of equals.  Equal windows have equal anchors, so only
-   windows whose anchor occurs in two documents can repeat.  The distinct
-   anchors of a chunk of documents are shuffled by hash; a hash shared within
-   the chunk travels once, so a passage in every document comes once from each
-   chunk, and its documents get their notes directly.
-2. Documents meet the notes about their shared anchors in document buckets.
+1. Documents are dealt to buckets of about 8 MB.  Every string (window) has an
+   anchor: the K-byte gram in it with the least hash, the leftmost of equals.
+   Equal windows have equal anchors, so only windows whose anchor occurs in two
+   documents can repeat.  The distinct anchors of a bucket, with the smallest
+   and the largest doc_id that has each, are shuffled by hash; a passage in
+   every document comes once from each bucket.
+2. Each bucket gets back a bitmap of those of its anchors that two documents
+   share.
    Runs of windows with one shared anchor are pieces of text (at most
    2 * LENGTH - K bytes); equal pieces of a bucket go on once, with their
    smallest doc_id, to the shard that their anchor belongs to.  So equal
@@ -25,19 +26,25 @@ cross documents.
    the blocks on disk, which still grows with the shard.
 4. These go back to the document buckets, where covered bytes are removed.
 
-All four shuffles carry compressed blocks, in a number of buckets that grows
-with the bytes of the input.  The documents' texts are shuffled compressed.
+All four shuffles carry compressed blocks.  The number of buckets of documents
+grows with the bytes of the input; that of buckets of anchors and of shards only
+up to ``MOST_KEY_BUCKETS``, so that blocks stay worth their row: beyond that, a
+bucket of anchors is read as a stream and dealt out on disk by hash, ``ASKED``
+anchors at a time, and shards grow.  The documents' texts are shuffled
+compressed, by a hash of doc_id and text, so that many rows with one doc_id go
+to many buckets.
 
 Defined cases: null text is empty; nothing is removed from texts shorter than
 LENGTH; rows with the same doc_id do not affect one another; rows without
 doc_id neither lose bytes nor make others lose any.  Repeated rows give a row
-each.
+each.  Extra columns are not read: the result has doc_id and ``fields``.
 """
 
 from __future__ import annotations
 
 import hashlib
 import tempfile
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -46,13 +53,14 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .blocks import Spool, buckets, squeeze, unsqueeze
+from .blocks import Spool, buckets, key_buckets, squeeze, unsqueeze
 from .common import doc_text, table
 from .induced_sort import RAM, InducedSort
 
 LENGTH = 50
 K = 19
-CHUNK_ROWS = 800_000
+ASKED = 4_000_000  # anchors of a bucket held in memory
+_RANGES = 64  # of hashes that more are dealt to
 _PIECE = 1 << 20
 BATCH = 1 << 20  # bytes of pieces sorted at a time
 _TABLE = 1 << 16  # bytes of different windows for which no further part is made
@@ -107,104 +115,125 @@ def anchors(text: bytes, length: int = LENGTH, k: int = K) -> tuple[np.ndarray,
     return np.concatenate(hashes), np.concatenate([*starts, [last]])
 
 
-def _chunks(n_buckets: int, length: int, k: int):
-    """Anchors of chunks of documents, by bucket: kind 0 asks who else has them, kind 1 tells documents."""
+def _own_anchors(rows: list[tuple[int | None, bytes]], length: int, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct anchors of a bucket's documents, in order, with the smallest and largest doc_id of each."""
+    unzip = zstandard.ZstdDecompressor().decompress
+    hashes, docs = [np.zeros(0, np.uint64)], []
+    for doc, packed in rows:
+        got = np.unique(anchors(unzip(packed), length, k)[0]) if doc is not None else hashes[0][:0]
+        hashes.append(got)
+        docs.append(np.full(len(got), doc or 0, dtype=np.int64))
+    h, d = np.concatenate(hashes), np.concatenate([*docs, np.zeros(0, np.int64)])
+    order = np.argsort(h, kind="stable")
+    h, d = h[order], d[order]
+    first = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1]))) if len(h) else np.zeros(0, np.int64)
+    if not len(h):
+        return h, d, d
+    return h[first], np.minimum.reduceat(d, first), np.maximum.reduceat(d, first)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
-        docs: list[int] = []
-        size = 0
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            h = np.concatenate(held)
-            d = np.repeat(np.array(docs, dtype=np.int64), [len(x) for x in held])
-            order = np.lexsort((d, h))
-            h, d = h[order], d[order]
-            first = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
-            low, high = np.minimum.reduceat(d, first), np.maximum.reduceat(d, first)
-            n = np.diff(np.concatenate((first, [len(h)])))
-            yield _dealt(0, h[first] % np.uint64(n_buckets), h[first], low, high)
-            told = np.repeat(low < high, n)
-            yield _dealt(1, _bucket_of(d[told], n_buckets), h[told], d[told])
 
-        for b in batches:
-            for doc, text in zip(b["doc_id"].to_pylist(), (t.as_py() for t in b["text"])):
-                if doc is None or text is None or len(text) < length:
-                    continue
-                got = np.unique(anchors(text, length, k)[0])
-                held.append(got)
-                docs.append(doc)
-                size += len(got)
-                if size >= CHUNK_ROWS:
-                    yield from flush()
-                    held.clear()
-                    docs.clear()
-                    size = 0
-        if docs:
-            yield from flush()
+def _by_bucket(h: np.ndarray, n: int) -> list[np.ndarray]:
+    """The places of hashes by the bucket they belong to; a bucket's stay in order."""
+    of = h % np.uint64(n)
+    order = np.argsort(of, kind="stable")
+    return np.split(order, np.flatnonzero(np.diff(of[order])) + 1) if len(h) else []
 
-    return run
 
+def _ask(n_keys: int, length: int, k: int):
+    """A bucket's distinct anchors, a block for each bucket of anchors."""
 
-def _bucket_of(doc: np.ndarray, n: int) -> np.ndarray:
-    x = doc.view(np.uint64) * np.uint64(_ODD)
-    return (x ^ (x >> np.uint64(32))) % np.uint64(n)
+    def run(key: tuple[pa.Scalar, ...], texts: pa.Table) -> pa.Table:
+        h, low, high = _own_anchors(_in_order(texts), length, k)
+        places, blocks = [], []
+        for own in _by_bucket(h, n_keys):
+            a, b = low[own].view(np.uint64), high[own].view(np.uint64)
+            places.append(int(h[own[0]]) % n_keys)
+            blocks.append(squeeze(np.diff(h[own], prepend=np.uint64(0)), a, b - a, level=1))
+        return pa.table({"asked": pa.array(places, pa.int64()), "bucket": pa.array([key[0].as_py()] * len(places), pa.int64()), "block": pa.array(blocks, pa.binary())})
 
+    return run
 
-def _dealt(kind: int, bucket: np.ndarray, *columns: np.ndarray) -> pa.RecordBatch:
-    """One block for each bucket with rows; hashes stay sorted in it."""
-    order = np.argsort(bucket, kind="stable")
-    bucket = bucket[order]
-    first = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1]))) if len(bucket) else np.zeros(0, np.int64)
-    blocks = []
-    columns = [c[order].view(np.uint64) for c in columns]
-    for a, z in zip(first.tolist(), [*first[1:].tolist(), len(bucket)]):
-        parts = [c[a:z] for c in columns]
-        if kind == 0:
-            parts[0] = np.diff(parts[0], prepend=np.uint64(0))
-            parts[2] = parts[2] - parts[1]
-        blocks.append(squeeze(*parts, level=1))
-    return pa.RecordBatch.from_arrays([pa.array(bucket[first].astype(np.int64)), pa.array([kind] * len(first), pa.int32()), pa.array(blocks, pa.binary())], ["bucket", "kind", "block"])
 
+def _shared(h: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Which entries have a hash that two documents share."""
+    order = np.argsort(h, kind="stable")
+    s = h[order]
+    first = np.flatnonzero(np.concatenate(([True], s[1:] != s[:-1])))
+    both = np.minimum.reduceat(low[order], first) < np.maximum.reduceat(high[order], first)
+    out = np.empty(len(h), dtype=bool)
+    out[order] = np.repeat(both, np.diff(np.concatenate((first, [len(h)]))))
+    return out
 
-def _answer(n_buckets: int):
-    """One bucket's anchors of all chunks: notes to the documents that share one."""
 
-    def run(asked: pa.Table) -> pa.Table:
-        kinds, blocks = asked["kind"].to_pylist(), asked["block"].to_pylist()
-        passed = pa.table({"bucket": asked["bucket"].filter(pa.array([k == 1 for k in kinds])), "block": pa.array([b for k, b in zip(kinds, blocks) if k == 1], pa.binary())})
-        got = [unsqueeze(b)[0] for k, b in zip(kinds, blocks) if k == 0]
-        if not got:
-            return passed
-        h = np.concatenate([np.cumsum(a, dtype=np.uint64) for a, _, _ in got])
-        low = np.concatenate([b for _, b, _ in got]).view(np.int64)
-        high = np.concatenate([b + c for _, b, c in got]).view(np.int64)
-        order = np.argsort(h, kind="stable")
-        h, low, high = h[order], low[order], high[order]
-        first = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
-        n = np.diff(np.concatenate((first, [len(h)])))
-        shared = np.repeat(np.minimum.reduceat(low, first) < np.maximum.reduceat(high, first), n)
-        told = shared & (low == high)  # chunks with more documents have told theirs
-        rows = _dealt(1, _bucket_of(low[told], n_buckets), h[told], low[told])
-        return pa.concat_tables([passed, pa.Table.from_batches([rows]).select(["bucket", "block"])])
+def _answer(most: int):
+    """A bucket of anchors: to each bucket of documents a bitmap of its anchors that are shared."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        heads: list[tuple[int, int, int]] = []  # bucket of anchors, of documents, entries
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        spool = Spool(32 << 20)
+        ranges: list[list[int]] = [[] for _ in range(_RANGES)]
+        size = done = 0
+
+        def deal() -> None:
+            """To ranges of hashes, with the entries' numbers."""
+            nonlocal size, done
+            h, low, high = (np.concatenate(x) for x in zip(*held))
+            at = np.arange(done, done + len(h), dtype=np.uint64)
+            for own in _by_bucket(_mixed(h), _RANGES):
+                part = int(_mixed(h[own[:1]])[0]) % _RANGES
+                ranges[part].append(spool.add(squeeze(h[own], low[own].view(np.uint64), high[own].view(np.uint64), at[own], level=1)))
+            done += len(h)
+            held.clear()
+            size = 0
+
+        for b in batches:
+            for asked, bucket, block in zip(b["asked"].to_pylist(), b["bucket"].to_pylist(), b["block"].to_pylist()):
+                steps, low, more = unsqueeze(block)[0]
+                heads.append((asked, bucket, len(steps)))
+                held.append((np.cumsum(steps, dtype=np.uint64), low.view(np.int64), (low + more).view(np.int64)))
+                size += len(steps)
+                if size >= most:
+                    deal()
+        if not heads:
+            return
+        if not done:
+            shared = _shared(*(np.concatenate(x) for x in zip(*held)))
+        else:
+            if held:
+                deal()
+            shared = np.zeros(done, dtype=bool)
+            for part in ranges:
+                if part:
+                    h, low, high, at = (np.concatenate(x) for x in zip(*(unsqueeze(spool.get(i))[0] for i in part)))
+                    shared[at.astype(np.int64)] = _shared(h, low.view(np.int64), high.view(np.int64))
+        start = 0
+        for asked, bucket, n in heads:
+            bits = np.packbits(shared[start : start + n]).tobytes()
+            start += n
+            yield pa.RecordBatch.from_arrays([pa.array([asked], pa.int64()), pa.array([bucket], pa.int64()), pa.array([bits], pa.binary())], ["asked", "bucket", "block"])
 
     return run
 
 
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = x * np.uint64(_ODD)
+    return x ^ (x >> np.uint64(32))
+
+
 def _in_order(texts: pa.Table) -> list[tuple[int | None, bytes]]:
     """doc_id and compressed text of a bucket's rows, in an order that does not depend on arrival."""
     rows = zip(texts["doc_id"].to_pylist(), texts["text"].to_pylist())
     return sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1]))
 
 
-def _pieces(texts: pa.Table, notes: list[bytes], bucket: int, n_shards: int, length: int, k: int) -> pa.Table:
+def _pieces(texts: pa.Table, notes: list[tuple[int, bytes]], bucket: int, n_keys: int, length: int, k: int) -> pa.Table:
     """The pieces of a bucket by shard, and under a negative shard where its documents have them."""
-    got = [unsqueeze(b)[0] for b in notes]
-    h = np.concatenate([a for a, _ in got])
-    d = np.concatenate([b for _, b in got]).view(np.int64)
-    order = np.lexsort((h, d))
-    h, d = h[order], d[order]
-    del got, order
+    rows = _in_order(texts)
+    known = _own_anchors(rows, length, k)[0]
+    bits = dict(notes)
+    parts = [own[np.unpackbits(np.frombuffer(bits[int(known[own[0]]) % n_keys], dtype=np.uint8), count=len(own)).astype(bool)] for own in _by_bucket(known, n_keys)]
+    known = known[np.sort(np.concatenate([*parts, np.zeros(0, np.int64)]))]
     unzip = zstandard.ZstdDecompressor().decompress
     number: dict[bytes, int] = {}
     low: list[int] = []
@@ -213,14 +242,12 @@ def _pieces(texts: pa.Table, notes: list[bytes], bucket: int, n_shards: int, len
     numbers: list[int] = []
     places: list[np.ndarray] = []
     widths: list[np.ndarray] = []
-    for doc, packed in _in_order(texts):
-        a, z = (np.searchsorted(d, doc, side) for side in ("left", "right")) if doc is not None else (0, 0)
-        if z == a:
+    for doc, packed in rows:
+        if doc is None or not len(known):
             counts.append(0)
             continue
         text = unzip(packed)
         hashes, starts = anchors(text, length, k)
-        known = h[a:z]
         hit = np.flatnonzero(known[np.minimum(np.searchsorted(known, hashes), len(known) - 1)] == hashes)
         at, sizes = starts[hit], starts[hit + 1] - starts[hit]
         counts.append(len(hit))
@@ -239,13 +266,13 @@ def _pieces(texts: pa.Table, notes: list[bytes], bucket: int, n_shards: int, len
     pieces = list(number)
     del number
     grams = np.array(gram_of, dtype=np.uint64)
-    shard = grams % np.uint64(n_shards)
+    shard = grams % np.uint64(n_keys)
     order = np.lexsort((grams, shard))  # the dictionary's order, which the rows' order fixes, settles ties
     place = np.empty(len(pieces), dtype=np.uint32)
     place[order] = np.arange(len(pieces), dtype=np.uint32)
     grams, shard, lows = grams[order], shard[order], np.array(low, dtype=np.int64)[order]
     blocks, shards = [], []
-    first = np.flatnonzero(np.diff(shard, prepend=np.uint64(n_shards))).tolist()
+    first = np.flatnonzero(np.diff(shard, prepend=np.uint64(n_keys))).tolist()
     for start, stop in zip(first, [*first[1:], len(order)]):
         part = [pieces[i] for i in order[start:stop].tolist()]
         sizes = np.array([len(p) for p in part], dtype=np.uint32)
@@ -591,17 +618,15 @@ def _sort_shard(length: int, k: int, ram: int):
 
 
 def _packed(docs: DataFrame, n_buckets: int) -> DataFrame:
-    """(bucket, doc_id, text): compressed texts; rows without doc_id are spread."""
+    """(bucket, doc_id, text): compressed texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         zipper = zstandard.ZstdCompressor(level=1)
-        turn = 0
         for b in batches:
-            ids = b["doc_id"].to_pylist()
-            bucket = _bucket_of(np.array([i if i is not None else turn + k for k, i in enumerate(ids)], dtype=np.int64), n_buckets)
-            turn += len(ids)
-            texts = [zipper.compress(t.as_py() or b"") for t in b["text"]]
-            yield pa.RecordBatch.from_arrays([pa.array(bucket.astype(np.int64)), b["doc_id"], pa.array(texts, pa.binary())], ["bucket", "doc_id", "text"])
+            texts = [t.as_py() or b"" for t in b["text"]]
+            of = np.array([zlib.crc32(t) for t in texts], dtype=np.uint64) ^ _mixed(b["doc_id"].fill_null(0).to_numpy(zero_copy_only=False).view(np.uint64))
+            bucket = _mixed(of) % np.uint64(n_buckets)
+            yield pa.RecordBatch.from_arrays([pa.array(bucket.astype(np.int64)), b["doc_id"], pa.array([zipper.compress(t) for t in texts], pa.binary())], ["bucket", "doc_id", "text"])
 
     return doc_text(docs).mapInArrow(run, "bucket long, doc_id long, text binary")
 
@@ -612,14 +637,15 @@ def dedup(docs: DataFrame, length: int = LENGTH, k: int = K, finish=None, fields
     ``finish`` maps (text, bounds of the removed runs) to the fields' values.
     """
     n = buckets(docs)
-    asked = doc_text(docs).mapInArrow(_chunks(n, length, k), "bucket long, kind int, block binary")
-    notes = asked.groupBy("bucket").applyInArrow(_answer(n), "bucket long, block binary")
+    n_keys = key_buckets(n)
     texts = _packed(docs, n)
+    asked = texts.groupBy("bucket").applyInArrow(_ask(n_keys, length, k), "asked long, bucket long, block binary")
+    notes = asked.groupBy("asked").applyInArrow(_answer(ASKED), "asked long, bucket long, block binary")
 
     def cut_pieces(key, texts: pa.Table, notes: pa.Table) -> pa.Table:
         if not texts.num_rows or not notes.num_rows:
             return pa.table({"shard": pa.array([], pa.int64()), "bucket": pa.array([], pa.int64()), "block": pa.array([], pa.binary())})
-        return _pieces(texts, notes["block"].to_pylist(), key[0].as_py(), n, length, k)
+        return _pieces(texts, list(zip(notes["asked"].to_pylist(), notes["block"].to_pylist())), key[0].as_py(), n_keys, length, k)
 
     pieces = texts.groupBy("bucket").cogroup(notes.groupBy("bucket")).applyInArrow(cut_pieces, "shard long, bucket long, block binary")
     minima = pieces.groupBy("shard").applyInArrow(_sort_shard(length, k, ram), "bucket long, shard long, block binary")

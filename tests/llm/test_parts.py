@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from quillon.llm import blocks, bpe, components, decontaminate, html_text, induced_sort, language_id, line_dedup, line_quality, quality_cnn, simhash, suffix_dedup, token_counts
@@ -218,6 +219,8 @@ def test_bpe_decode_and_clashing_columns(spark, odd_docs):
     back = bpe.decode(coded)
     want = sorted(((r.doc_id, r.text or "") for r in odd_docs.collect()), key=repr)
     assert sorted(((r.doc_id, r.text) for r in back.collect()), key=repr) == want
+    row = bpe.decode(coded.select("ids", F.lit("x").alias("text")).limit(1)).first()
+    assert row["text"] == "x" and row["_text"] is not None
 
 
 def test_bpe_small_chunks(spark, odd_docs, monkeypatch):
@@ -228,6 +231,29 @@ def test_bpe_small_chunks(spark, odd_docs, monkeypatch):
     assert sorted((tuple(r) for r in bpe.encode(narrow).collect()), key=repr) == want
 
 
+def test_bucket_counts_of_any_corpus(spark, small, monkeypatch):
+    for size in (0, 10**9, 10**13, 10**14, 10**15):
+        monkeypatch.setattr(blocks, "text_bytes", lambda docs, n=size: n)
+        n = blocks.buckets(small, most=bpe.MOST_BUCKETS)
+        assert n <= bpe.MOST_BUCKETS < 100_000 and blocks.key_buckets(n) <= blocks.MOST_KEY_BUCKETS
+        assert blocks.buckets(small) >= size / blocks.BUCKET_BYTES
+
+
+def test_bpe_and_suffix_dedup_at_the_most_buckets(spark, odd_docs, monkeypatch):
+    """A corpus of 10 TB has the most buckets there are; here these are few, and reached by few bytes."""
+    narrow = odd_docs.select("doc_id", "text")
+    want = sorted((tuple(r) for r in bpe.encode(narrow).collect()), key=repr)
+    kept = sorted((tuple(r) for r in suffix_dedup.dedup(narrow).collect()), key=repr)
+    monkeypatch.setattr(blocks, "text_bytes", lambda docs: 10**13)
+    monkeypatch.setattr(bpe, "MOST_BUCKETS", 40)
+    monkeypatch.setattr(bpe, "KNOWN", 20)
+    monkeypatch.setattr(bpe, "CHUNK_BYTES", 2000)
+    monkeypatch.setattr(blocks, "MOST_KEY_BUCKETS", 7)
+    monkeypatch.setattr(suffix_dedup, "ASKED", 50)
+    assert sorted((tuple(r) for r in bpe.encode(narrow).collect()), key=repr) == want
+    assert sorted((tuple(r) for r in suffix_dedup.dedup(narrow).collect()), key=repr) == kept
+
+
 def test_long_words_as_short_ones():
     ranks = bpe.load_ranks(bpe.default_vocabulary()[0])
     r = random.Random(2)
