@@ -97,6 +97,17 @@ def hit_list(hits: Column | str) -> Column:
     return F.transform(F.split(as_column(hits), ","), lambda h: F.struct(F.substring_index(h, "(", 1).alias("gene"), F.replace(F.get(F.split(h, r"\("), F.lit(1)), F.lit(")"), F.lit("")).try_cast("double").alias("score")))
 
 
+def best_first(hits: Column | str) -> Column:
+    """Hits by falling score; of equals the first in the list stays first, and those without a score are last."""
+    marked = F.transform(as_column(hits), lambda h, i: F.struct(h.alias("h"), i.alias("i")))
+
+    def order(a: Column, b: Column) -> Column:
+        x, y = F.coalesce(a["h"]["score"], F.lit(float("-inf"))), F.coalesce(b["h"]["score"], F.lit(float("-inf")))
+        return F.when(x > y, -1).when(x < y, 1).otherwise(a["i"] - b["i"])
+
+    return F.transform(F.array_sort(marked, order), lambda m: m["h"])
+
+
 def alignment_stats(alignment: Column | str) -> Column:
     """The first alignment's places and counts: germline start|end|length|query start|end|edits."""
     p = F.split(F.substring_index(as_column(alignment), ";", 1), r"\|")

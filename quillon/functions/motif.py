@@ -5,11 +5,13 @@ from __future__ import annotations
 import json
 import math
 import re
-from collections.abc import Iterator
+import warnings
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from .sequences import CODONS
 
@@ -38,6 +40,19 @@ def read_motifs(text: str) -> list[Motif]:
     return [Motif(r[0], side(r[1]), side(r[2]), int(r[3]), int(r[4])) for r in json.loads(text)]
 
 
+def choose_motifs(rows: DataFrame, species: Sequence[str], loci: Sequence[str]) -> list[Motif]:
+    """Motifs of any of the species and loci from ``rows(species, locus, motifs)``, where motifs is JSON for ``read_motifs``.
+
+    Motif tables are small: a row for each species and locus.
+    """
+    wanted = rows.filter(F.lower("species").isin(*[x.lower() for x in species]) & F.upper("locus").isin(*[x.upper() for x in loci]))
+    out = [m for r in wanted.orderBy("species", "locus").select("motifs").collect() for m in read_motifs(r.motifs)]
+    missing = sorted({x.upper() for x in loci} - {m.locus.upper() for m in out})
+    if missing:
+        warnings.warn(f"no motif for {', '.join(missing)}", stacklevel=2)
+    return out
+
+
 def perplexity(weights: dict[str, float]) -> float:
     return 2 ** -sum(p * math.log2(p) for p in weights.values() if p > 0)
 

@@ -61,7 +61,12 @@ def parse_clone_table(rows: DataFrame, reads: DataFrame | None = None) -> DataFr
 
 
 def parse_igblast_block(lines: Column) -> dict[str, Column]:
-    """Fields of one report block: query, rearrangement, and the hit table's rows by gene."""
+    """Fields of one report block: query, rearrangement, junction, regions, and the hit table's rows by gene.
+
+    The junction is (v_end, v_d, d, d_j, j_start) of a VDJ rearrangement, (v_end,
+    v_j, j_start) of a VJ one; N/A is null.  Regions are those of the alignment
+    summary, the total included.
+    """
     row = lambda i: F.split(F.get(lines, i), "\t")
     at = F.array_position(F.transform(lines, lambda x: x.startswith("# V-(D)-J rearrangement summary")), True)
     summary = F.when(at > 0, row(at.cast("int")))
@@ -69,8 +74,30 @@ def parse_igblast_block(lines: Column) -> dict[str, Column]:
     hits = F.filter(lines, lambda x: x.rlike(r"^[VDJ]\t"))
     by = lambda g: F.transform(F.filter(hits, lambda x: x.startswith(g)), lambda x: F.struct(F.get(F.split(x, "\t"), F.lit(2)).alias("gene"), F.get(F.split(x, "\t"), F.lit(3)).try_cast("double").alias("identity"), F.get(F.split(x, "\t"), F.lit(4)).try_cast("int").alias("length"), F.get(F.split(x, "\t"), F.lit(5)).try_cast("int").alias("mismatches"), F.get(F.split(x, "\t"), F.lit(7)).try_cast("int").alias("gaps")))
     query = F.get(F.filter(lines, lambda x: x.startswith("# Query:")), F.lit(0))
+    section = lambda title: F.array_position(F.transform(lines, lambda x: x.startswith(title)), True)
+    value = lambda c: F.nullif(F.trim(c), F.lit("N/A"))
+    j_at, r_at = section("# V-(D)-J junction details"), section("# Alignment summary between query and top germline")
+    junction = F.when(j_at > 0, row(j_at.cast("int")))
+    j = lambda i: value(F.get(junction, F.lit(i)))
+    long = F.size(F.filter(junction, lambda x: x != "")) == 5
+    rest = F.when(r_at > 0, F.slice(lines, (r_at + 1).cast("int"), F.size(lines)))
+    stop = F.array_position(F.transform(rest, lambda x: x.startswith("#") | (F.trim(x) == "")), True)
+    rows = F.when(stop > 0, F.slice(rest, F.lit(1), F.greatest(stop - 1, F.lit(0)).cast("int"))).otherwise(rest)
+    names = ("start", "stop", "length", "matches", "mismatches", "gaps")
+    cell = lambda x, i: value(F.get(F.split(x, "\t"), F.lit(i)))
+    regions = F.transform(rows, lambda x: F.struct(cell(x, 0).alias("region"), *[cell(x, i + 1).try_cast("int").alias(n) for i, n in enumerate(names)], cell(x, 7).try_cast("double").alias("identity")))
     # Seven fields are a VJ rearrangement, eight a VDJ one.
     return {
+        "junction": F.struct(
+            j(0).alias("v_end"),
+            F.when(long, j(1)).alias("v_d"),
+            F.when(long, j(2)).alias("d"),
+            F.when(long, j(3)).alias("d_j"),
+            F.when(~long, j(1)).alias("v_j"),
+            F.when(long, j(4)).otherwise(j(2)).alias("j_start"),
+        ),
+        "regions": F.filter(regions, lambda r: r["region"] != "Total"),
+        "total": F.get(F.filter(regions, lambda r: r["region"] == "Total"), F.lit(0)),
         "header": F.trim(F.replace(query, F.lit("# Query:"), F.lit(""))),
         "recombination": F.when(n == 7, "VJ").when(n == 8, "VDJ"),
         "productive": F.upper(F.get(summary, n - 2)),

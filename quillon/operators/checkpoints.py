@@ -6,16 +6,28 @@ import atexit
 import shutil
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` with its lineage cut; a folder of our own is set only where ``spark.checkpoint.dir`` is unset."""
-    sc = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: ``spark.checkpoint.dir``.
+
+    Only where it is unset on one machine (tests) a folder of our own is made;
+    on a cluster that is refused, as executors would not see it.
+    """
+    sc = spark.sparkContext
+    path = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not path:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        path = tempfile.mkdtemp(prefix="quillon-")
+        atexit.register(shutil.rmtree, path, ignore_errors=True)
     if not sc.getCheckpointDir():
-        path = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if not path:
-            path = tempfile.mkdtemp(prefix="quillon-")
-            atexit.register(shutil.rmtree, path, ignore_errors=True)
         sc.setCheckpointDir(path)
+    return path.rstrip("/")
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` with its lineage cut by a reliable checkpoint."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)

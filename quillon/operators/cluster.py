@@ -89,8 +89,12 @@ def clonotypes(df: DataFrame, cdr3: str, reads: str, identity: float, at_least:
 
 
 def read_uc(lines: DataFrame) -> DataFrame:
-    """Members of clusters from the seed (S) and hit (H) lines of a tab-separated cluster table."""
+    """Members of clusters from the seed (S) and hit (H) lines of a tab-separated cluster table.
+
+    A label begins with its count; where the ninth column's has none, the tenth's is used.
+    """
     p = F.split("value", "\t")
-    label = F.get(p, F.lit(8))
-    rows = lines.select(F.get(p, F.lit(0)).alias("kind"), F.get(p, F.lit(1)).alias("cluster"), label.alias("label")).filter(F.col("kind").isin("S", "H"))
-    return rows.select("cluster", "label", (F.col("kind") == "S").alias("is_seed"), F.substring_index("label", ":", 1).try_cast("long").alias("count"))
+    at = lambda i: F.get(p, F.lit(i))
+    number = lambda i: F.substring_index(at(i), ":", 1).try_cast("long")
+    rows = lines.select(at(0).alias("kind"), at(1).alias("cluster"), at(8).alias("label"), F.coalesce(number(8), number(9)).alias("count")).filter(F.col("kind").isin("S", "H"))
+    return rows.select("cluster", "label", (F.col("kind") == "S").alias("is_seed"), "count")

@@ -26,10 +26,13 @@ def funnel(df: DataFrame, rules: Sequence[tuple[str, Column]]) -> DataFrame:
     return df.select(F.coalesce(reject_reason(rules), F.lit("passed")).alias("reason")).groupBy("reason").agg(F.count("*").alias("counts"))
 
 
-def prepare_reads(rows: DataFrame, productive: Column | None = None) -> DataFrame:
-    """Annotated rows (header, cdr3_nt, cdr3_aa, vgene, jgene, shm) with code, chain and reject reason."""
+def prepare_reads(rows: DataFrame, productive: Column | str | None = None) -> DataFrame:
+    """Annotated rows (header, cdr3_nt, cdr3_aa, vgene, jgene, shm) with code, chain and reject reason.
+
+    ``productive`` is a rule of one's own: a Column, or the text of an SQL expression over the rows.
+    """
     chain = recombination_type("vgene", "jgene")
-    productive = cdr3_productive("cdr3_nt", "cdr3_aa") if productive is None else productive
+    productive = cdr3_productive("cdr3_nt", "cdr3_aa") if productive is None else F.expr(productive) if isinstance(productive, str) else productive
     rules = [
         ("no_header", F.coalesce(F.col("header"), F.lit("")) == ""),
         ("no_cdr3", F.coalesce(F.col("cdr3_nt"), F.lit("")) == ""),

@@ -75,7 +75,7 @@ def rank_abundance(counts: DataFrame, item: str, count: str, by: Sequence[str] =
     order = part.orderBy(F.desc(count), item)
     run = order.rowsBetween(Window.unboundedPreceding, 0)
     total = F.sum(count).over(part)
-    return counts.select(*by, item, count, F.row_number().over(order).alias("rank"), (F.col(count) / total).alias("share"), (F.sum(count).over(run) / total).alias("cumulative"))
+    return counts.select(*by, item, count, F.row_number().over(order).cast("long").alias("rank"), (F.col(count) / total).alias("share"), (F.sum(count).over(run) / total).alias("cumulative"))
 
 
 def _global_rank_abundance(counts: DataFrame, item: str, count: str) -> DataFrame:
@@ -89,7 +89,7 @@ def _global_rank_abundance(counts: DataFrame, item: str, count: str) -> DataFram
     all_ = totals.agg(F.sum("_t")).scalar()
     # As many rows as partitions.
     out = local.join(F.broadcast(offsets), "_p")
-    return out.select(item, count, (F.col("_n0") + F.col("_rank")).cast("int").alias("rank"), (F.col(count) / all_).alias("share"), ((F.col("_t0") + F.col("_sum")) / all_).alias("cumulative"))
+    return out.select(item, count, (F.col("_n0") + F.col("_rank")).cast("long").alias("rank"), (F.col(count) / all_).alias("share"), ((F.col("_t0") + F.col("_sum")) / all_).alias("cumulative"))
 
 
 def length_stats(df: DataFrame, text: str, by: Sequence[str] = (), more_than: int = 2) -> DataFrame:

@@ -90,3 +90,15 @@ def encode_strings(rows: DataFrame, column: str, key: str) -> tuple[DataFrame, D
     words = words.withColumn("number", F.row_number().over(Window.partitionBy(key).orderBy(column)) - 1)
     coded = rows.join(words, [key, column], "left").drop(column).withColumnRenamed("number", column)
     return coded, words.select(key, "number", F.col(column).alias("value"))
+
+
+def load(target: DataFrame, rows: DataFrame, experiment: str, analysis: str, append: bool = False) -> tuple[DataFrame, DataFrame]:
+    """``target`` with the rows of a file, and the documents of each experiment and analysis in the result.
+
+    The counters are those that the experiments' metadata get.
+    """
+    if missing := {experiment, analysis} - set(rows.columns):
+        raise InvalidInsert(f"the file has no column {', '.join(sorted(missing))}")
+    out = insert(target, rows, experiment, append)
+    loaded = out.join(rows.select(experiment).distinct(), experiment, "left_semi")
+    return out, loaded.groupBy(experiment, analysis).agg(F.count("*").alias("counts"))

@@ -8,12 +8,13 @@ Stages: ``$match``, ``$project``, ``$addFields``, ``$group``, ``$unwind``,
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .filters import FieldRules, FilterError, compile_filter, resolve
 
@@ -62,15 +63,48 @@ def expression(x: Any, df: DataFrame) -> Column:
     return simple[op](args)
 
 
+_REGISTERED: dict[str, Callable[[Column], Column]] = {}
+
+
+def register_accumulator(name: str, aggregate: Callable[[Column], Column]) -> None:
+    """Let ``$group`` use ``aggregate``, a function of a Column to an aggregate Column, as ``name``."""
+    if not name.startswith("$"):
+        raise FilterError("an accumulator's name begins with $")
+    _REGISTERED[name] = aggregate
+
+
+def inverted(c: Column, kind: T.DataType) -> Column:
+    """A value whose ascending order is the descending order of ``c``, nulls last."""
+    if isinstance(kind, T.StringType):
+        # Hex digits turned round; the end of a text comes after any further digit.
+        value = F.concat(F.translate(F.hex(F.encode(c, "utf-8")), "0123456789ABCDEF", "FEDCBA9876543210"), F.lit("~"))
+    elif isinstance(kind, T.BooleanType):
+        value = ~c
+    elif isinstance(kind, T.DateType):
+        value = -F.unix_date(c)
+    elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        value = -F.unix_micros(c.cast("timestamp"))
+    elif isinstance(kind, T.NumericType):
+        value = -c.cast("decimal(20,0)") if isinstance(kind, T.IntegralType) else -c
+    else:
+        raise FilterError(f"a sort by {kind.simpleString()} has one direction")
+    return F.struct(c.isNull().alias("none"), value.alias("value"))
+
+
 def _accumulate(doc: Mapping, df: DataFrame, order: Sequence[tuple[str, int]]) -> Column:
     (op, arg), = doc.items()
     c = expression(arg, df)
     if op in ("$first", "$last"):
         ways = {w for _, w in order}
+        if not order:
+            return F.first(c) if op == "$first" else F.last(c)
         if len(ways) == 1:
             keys = F.struct(*[resolve(df.schema, k)[0] for k, _ in order])
             return (F.min_by if (op == "$first") == (ways == {1}) else F.max_by)(c, keys)
-        return F.first(c) if op == "$first" else F.last(c)
+        keys = F.struct(*[k if w == 1 else inverted(k, kind) for k, kind, w in ((*resolve(df.schema, k), w) for k, w in order)])
+        return (F.min_by if op == "$first" else F.max_by)(c, keys)
+    if op in _REGISTERED:
+        return _REGISTERED[op](c)
     simple = {"$sum": F.sum, "$avg": F.avg, "$min": F.min, "$max": F.max, "$push": F.collect_list, "$addToSet": lambda x: F.array_sort(F.collect_set(x))}
     if op not in simple:
         raise FilterError(f"accumulator {op} is not supported")

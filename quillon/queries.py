@@ -299,7 +299,7 @@ def count_cdf(spark, sf):
 
 
 @query("""with c as (select p_brand, count(*) as n from part group by all)
-select p_brand, n, cast(row_number() over w as int) as rank, round(n / sum(n) over (), 6) as share, round(sum(n) over w / sum(n) over (), 6) as cumulative from c window w as (order by n desc, p_brand rows unbounded preceding)""")
+select p_brand, n, row_number() over w as rank, round(n / sum(n) over (), 6) as share, round(sum(n) over w / sum(n) over (), 6) as cumulative from c window w as (order by n desc, p_brand rows unbounded preceding)""")
 def rank_abundance(spark, sf):
     counts = table(spark, sf, "part").groupBy("p_brand").agg(F.count("*").alias("n"))
     return stats.rank_abundance(counts, "p_brand", "n").withColumns({c: F.round(c, 6) for c in ("share", "cumulative")})
@@ -384,12 +384,6 @@ def _nucleotides(column: str):
     return F.translate(letters, "abcdefghijklmnopqrstuvwxyz", "ACGTACGTACGTACGTACGTACGTAC")
 
 
-@query()
-def fft_barcode(spark, sf):
-    reads = table(spark, sf, "benchmark").select("item_id", _nucleotides("text").alias("seq"))
-    return barcode.aligned(reads, "seq", [("IGHG", "ACGTTGCA"), ("IGK", "GATTACAG"), ("IGHM", "CCGGTTAA")]).drop("seq")
-
-
 @query()
 def motif_score(spark, sf):
     side = lambda aa: {i + 1: {a: 0.7 if a == x else 0.3 / 19 for a in "ACDEFGHIKLMNPQRSTVWY"} for i, x in enumerate(aa)}
@@ -398,18 +392,6 @@ def motif_score(spark, sf):
     return motif.with_cdr3(reads, "seq", [m]).select("item_id", "cdr3.*")
 
 
-@query()
-def greedy_cluster(spark, sf):
-    names = table(spark, sf, "part").groupBy("p_name").agg(F.count("*").alias("n"))
-    return cluster.greedy_clusters(names, "p_name", "n", 0.75)
-
-
-@query()
-def clonotype_join(spark, sf):
-    df = table(spark, sf, "part").select("p_partkey", "p_name", F.col("p_size").cast("long").alias("p_size"))
-    return cluster.clonotypes(df, "p_name", "p_size", 0.8, at_least=100)
-
-
 # Sets, functions, rows
 
 
@@ -517,12 +499,6 @@ def reads_with_analyses(spark, sf):
     return out.select("SEQ_ID", F.array_join(F.array_sort(F.map_keys("ANALYSES")), ",").alias("analyses"))
 
 
-@query("select p_partkey, concat_ws('_', p_name, p_brand) || chr(10) || p_type as record from part")
-def fasta_records(spark, sf):
-    p = table(spark, sf, "part")
-    return p.select("p_partkey", F.concat(F.concat_ws("_", "p_name", "p_brand"), F.lit("\n"), "p_type").alias("record"))
-
-
 # Writes
 
 

@@ -203,6 +203,33 @@ def germline_sets(docs: DataFrame, functional: Sequence[str] = ()) -> DataFrame:
     return rows.groupBy("GENETYPE").agg(F.sort_array(F.collect_list(F.struct("g.ALLELE_NAME", "g.SEQUENCE", "g.FUNCTIONALITY"))).alias("genes"))
 
 
+def resolve_germline(spark: SparkSession, folder: str, species: str, loci: Sequence[str], gene_types: Sequence[str] = ("V", "J"), custom: Sequence[str] = ()) -> DataFrame:
+    """Germline genes of a species, its loci and gene types: of ``custom`` files, else of a folder laid out by these.
+
+    The folder is that of ``writers.save_germline_tables``; only its matching
+    folders are listed and read.  Nothing found raises.
+    """
+    if custom:
+        return read_germline(spark, custom, species, loci)
+    rows = read_delimited(spark, folder)
+    name = species.lower().replace(" ", "_")
+    rows = rows.filter((F.col("by_species") == name) & F.col("by_locus").isin(*loci) & F.col("by_type").isin(*gene_types))
+    if rows.isEmpty():
+        raise FormatError(f"no germline genes of {species}, {', '.join(loci)} in {folder}")
+    return rows.drop("by_species", "by_locus", "by_type")
+
+
+def merge_files(spark: SparkSession, paths: Sequence[str], sep: str = "\t") -> DataFrame:
+    """Files of one layout as one table; each file's header is read once for its own rows."""
+    out = None
+    for p in paths:
+        rows = read_delimited(spark, p, sep)
+        out = rows if out is None else out.unionByName(rows, allowMissingColumns=True)
+    if out is None:
+        raise FormatError("no files")
+    return out.na.fill("")
+
+
 def read_for_reference(df: DataFrame, renames: dict[str, str], reads: str = "READS") -> DataFrame:
     """Renamed columns, blanks for nulls, and one read where no count is given."""
     out = df.withColumnsRenamed(renames)

@@ -5,11 +5,11 @@ from __future__ import annotations
 import json
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.convert import default_quality, flatten
-from .readers import DECORATOR, HEADER_JSON
+from .readers import DECORATOR, HEADER_JSON, read_any
 
 
 def ordered(df: DataFrame, columns: Sequence[str] | Mapping[str, str] | None, keep_rest: bool = True) -> DataFrame:
@@ -87,10 +87,58 @@ def written_counts(df: DataFrame) -> DataFrame:
     return df.groupBy(F.input_file_name().alias("file")).agg(F.count("*").alias("documents"))
 
 
-def save_germline(genes: DataFrame, path: str) -> None:
-    """A FASTA folder for each gene type."""
-    rows = genes.select("GENETYPE", F.explode("genes").alias("g")).select("GENETYPE", F.concat(F.lit(">"), "g.ALLELE_NAME", F.lit("\n"), "g.SEQUENCE").alias("value"))
-    rows.write.mode("overwrite").partitionBy("GENETYPE").text(path)
+def created_files(spark: SparkSession, path: str) -> DataFrame:
+    """(file, part, documents) of a delimited write that was split by value."""
+    rows = spark.read.option("sep", "\t").option("header", True).option("quote", "").csv(path).select(F.col("_metadata.file_path").alias("file"), F.col("part").cast("string").alias("part"))
+    return rows.groupBy("file", "part").agg(F.count("*").alias("documents"))
+
+
+def save_germline(genes: DataFrame, path: str, kind: str = "fasta") -> None:
+    """A folder for each gene type: FASTA, a tab file with all fields, or FASTA with ``|`` between allele and functionality (``fft``)."""
+    rows = genes.select("GENETYPE", F.explode("genes").alias("g"))
+    if kind == "tab":
+        writer = rows.select("GENETYPE", "g.*").write.mode("overwrite").partitionBy("GENETYPE")
+        writer.option("sep", "\t").option("header", True).option("quote", "").option("emptyValue", "").csv(path)
+        return
+    if kind not in ("fasta", "fft"):
+        raise ValueError(kind)
+    name = F.concat_ws("|", "g.ALLELE_NAME", "g.FUNCTIONALITY") if kind == "fft" else F.col("g.ALLELE_NAME")
+    rows.select("GENETYPE", F.concat(F.lit(">"), name, F.lit("\n"), "g.SEQUENCE").alias("value")).write.mode("overwrite").partitionBy("GENETYPE").text(path)
+
+
+def save_germline_tables(genes: DataFrame, path: str) -> None:
+    """Germline rows as tab files in folders by species, locus and gene type, as ``readers.resolve_germline`` looks for them."""
+    folders = {"by_species": F.translate(F.lower("SPECIES"), " ", "_"), "by_locus": F.col("LOCUS"), "by_type": F.col("GENETYPE")}
+    writer = genes.withColumns(folders).write.mode("overwrite").partitionBy(*folders)
+    writer.option("sep", "\t").option("header", True).option("quote", "").option("emptyValue", "").csv(path)
+
+
+def convert(spark: SparkSession, source, path: str, to: str, kind: str | None = None, columns: Mapping[str, str] | Sequence[str] | None = None, **options) -> None:
+    """A file of any readable format as another: ``tab``, ``csv``, ``json``, ``fasta`` or ``fastq``.
+
+    ``columns`` choose, order and rename; ``options`` are those of the writer.
+    """
+    rows = read_any(spark, source, kind)
+    if columns is not None:
+        rows = ordered(rows, columns, keep_rest=False)
+    if to in ("tab", "csv"):
+        save_delimited(rows, path, sep="\t" if to == "tab" else ",", **options)
+    elif to == "json":
+        save_flat_json(rows, path, **options)
+    elif to == "fasta":
+        save_fasta(rows, path, **options)
+    elif to == "fastq":
+        save_fastq(rows, path, **options)
+    else:
+        raise ValueError(f"no writer for {to!r}")
+
+
+def split_file(rows: DataFrame, path: str, pieces: int) -> list[str]:
+    """``rows`` as ``pieces`` tab files of whole records, each with the header; their folders."""
+    by = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns]), F.lit(pieces)).alias("piece")
+    writer = rows.select("*", by).write.mode("overwrite").partitionBy("piece")
+    writer.option("sep", "\t").option("header", True).option("quote", "").option("emptyValue", "").csv(path)
+    return [f"{path}/piece={i}" for i in range(pieces)]
 
 
 def table_to_fasta(df: DataFrame, path: str, sequence: str, header: Sequence[str]) -> None:

@@ -26,9 +26,10 @@ def sessions(events: DataFrame, gap: str = "30 minutes", late: str = "2 hours",
     return rows.groupBy(F.session_window("ts", gap).alias("w"), by).agg(F.count("*").alias("counts")).select(F.col("w.start").alias("session_start"), F.col("w.end").alias("session_end"), by, "counts")
 
 
-def write_batches(stream: DataFrame, path: str, checkpoint: str, max_rows: int = 50_000):
-    """Append a stream to Parquet in files of bounded size."""
+def write_batches(stream: DataFrame, path: str, checkpoint: str, max_rows: int = 50_000, once: bool = False):
+    """Append a stream to Parquet in files of bounded size; ``once`` ends it with what is there now."""
     def save(batch: DataFrame, _: int) -> None:
         batch.write.mode("append").option("maxRecordsPerFile", max_rows).parquet(path)
 
-    return stream.writeStream.foreachBatch(save).option("checkpointLocation", checkpoint).start()
+    writer = stream.writeStream.foreachBatch(save).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if once else writer).start()

@@ -3,6 +3,8 @@
 import duckdb
 import pytest
 
+import quillon.queries_files
+import quillon.queries_more  # noqa: F401
 from quillon.queries import QUERIES, SQL
 
 SF = "/root/testdata/sf0.001"
