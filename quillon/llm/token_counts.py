@@ -268,8 +268,13 @@ class TokenTree:
 _PRIVATE = re.compile(r"(?<![\w.+-])[\w.+-]++@[\w-]++(?:\.[\w-]++)++|\b\d{1,3}(?:\.\d{1,3}){3}\b|\+?\d[\d ()-]{7,}\d")
 
 
+_MARK = re.compile(r"[@\d]")  # each piece has one
+
+
 def redactions(text: str | None) -> list[tuple[int, int, str]]:
     """Edits, last first, that put a placeholder for each piece of personal data."""
+    if not text or not _MARK.search(text):
+        return []
     return [(m.start(), m.end(), "[EMAIL]" if "@" in m.group() else "[NUMBER]") for m in _PRIVATE.finditer(text or "")][::-1]
 
 
