@@ -6,6 +6,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,15 +43,18 @@ def _own_folder() -> str:
 def shared_dir(spark: SparkSession) -> str:
     """The folder for intermediate tables that driver and executors share.
 
-    It is read from ``spark.checkpoint.dir``; only where that is unset (tests
-    on one machine) a folder of our own is made and set.
+    It is read from ``spark.checkpoint.dir``; only where that is unset on one
+    machine (tests) a folder of our own is made and set.  On a cluster that is
+    refused, as executors would not see it.
     """
-    conf = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    conf = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not conf:
-        held = spark.sparkContext.getCheckpointDir()
-        conf = held or _own_folder()
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(conf)
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        conf = _own_folder()
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(conf)
     return conf
 
 
@@ -69,8 +74,14 @@ def staged(df: DataFrame, label: str, codec: str = "zstd") -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/quillon-{label}-{uuid.uuid4().hex}"
     df.write.option("compression", codec).parquet(path)
-    back = spark.read.schema(df.schema).parquet(path)
-    back._quillon_path = path
+    return _staged(spark.read.schema(df.schema).parquet(path), path)
+
+
+def kept(df: DataFrame, label: str) -> DataFrame:
+    """As ``staged``, for a table that outlives the ``temporary`` block it is made in."""
+    back = staged(df, label)
+    if _made:
+        _made[-1] = [x for x in _made[-1] if x is not back]
     return back
 
 
@@ -83,12 +94,31 @@ def staged_by(df: DataFrame, label: str, by: str, n: int, codec: str = "zstd") -
     name = f"quillon_{label}_{uuid.uuid4().hex}"
     path = f"{shared_dir(spark).rstrip('/')}/{name}"
     df.write.bucketBy(n, by).option("compression", codec).option("path", path).format("parquet").saveAsTable(name)
-    back = spark.table(name)
-    back._quillon_path = path
+    back = _staged(spark.table(name), path)
     spark.sql(f"drop table {name}")  # its entry in the catalog; files outside the warehouse stay
     return back
 
 
+_made: list[list[DataFrame]] = []  # tables staged in each open ``temporary`` block
+
+
+@contextmanager
+def temporary() -> Iterator[None]:
+    """Delete the tables that are staged in this block at its end: what is built on them has been written by then."""
+    _made.append([])
+    try:
+        yield
+    finally:
+        discard(*_made.pop())
+
+
+def _staged(back: DataFrame, path: str) -> DataFrame:
+    back._quillon_path = path
+    if _made:
+        _made[-1].append(back)
+    return back
+
+
 def discard(*frames: DataFrame) -> None:
     """Delete staged tables that no returned frame reads any more."""
     for df in frames:

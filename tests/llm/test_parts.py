@@ -12,7 +12,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from quillon.llm import blocks, bpe, components, decontaminate, html_text, induced_sort, language_id, line_dedup, line_quality, quality_cnn, simhash, suffix_dedup, token_counts
+from quillon.llm import blocks, bpe, common, components, decontaminate, html_text, induced_sort, language_id, line_dedup, line_quality, quality_cnn, simhash, suffix_dedup, token_counts
 
 
 def test_decontaminate_in_blocks(spark, odd_docs, folder):
@@ -470,6 +470,14 @@ def test_pipeline_stages(spark, folder):
     assert 4 <= len(corpus_pipeline.STAGES) <= 5
 
 
+def test_pipeline_leaves_no_inner_tables(spark, folder, tmp_path, monkeypatch):
+    monkeypatch.setattr(common, "shared_dir", lambda spark: str(tmp_path))
+    out = corpus_pipeline.run(spark, folder)
+    assert out.count() > 0
+    left = [p.name for p in tmp_path.iterdir() if p.name.startswith("quillon")]
+    assert len(left) == 1, left
+
+
 def test_pipeline_empty(spark, empty_folder):
     assert corpus_pipeline.run(spark, empty_folder).collect() == []
 
