@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from quillon.llm import bpe, decontaminate, language_id, line_dedup, simhash
-from quillon.llm.common import discard, staged, table
+from quillon.llm.common import discard, kept, table, temporary
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,6 +58,9 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        before, docs = docs, staged(stage(spark, docs, sf_dir), name)
+        before = docs
+        with temporary():  # what a stage stages for itself goes when its result is written
+            out = stage(spark, docs, sf_dir)
+            docs = kept(out, name)
         discard(before)
     return docs
