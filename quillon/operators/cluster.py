@@ -4,48 +4,59 @@ Sequences are taken by falling count, then by sequence.  Each joins the first
 centroid (the most abundant) within the identity, or becomes a centroid.
 Identity is 1 - levenshtein / the longer length.
 
-Scale: a sequence can only be within identity of one with a similar length that
-shares a q-gram in one of its segments, so candidate pairs come from an equi-join
-on segment keys (the pigeonhole principle: with at most d edits, one of d + 1
-segments of the shorter sequence occurs unchanged within d positions in the
-other).  The greedy choice is then settled in rounds over the verified pairs: a
-sequence is decided once all earlier neighbours are, so the result is that of
-the sequential pass without ever gathering a component in one task.
+Scale: candidate pairs come from an equi-join on segment keys.  With at most d
+edits, at least 1 + ``SPARE`` of d + 1 + ``SPARE`` segments of the shorter
+sequence occur unchanged within d positions in the other, so each sequence may
+leave out its ``SPARE`` most frequent segments: a start that all sequences share
+does not pair them all.  The greedy choice is then settled in rounds over the
+verified pairs: a sequence is decided once all earlier neighbours are, so the
+result is that of the sequential pass without ever gathering a component in one
+task; pairs of decided sequences leave the table of the next round.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .checkpoints import checkpointed
 
+#: Frequent segments that a sequence may leave out of its search.
+SPARE = 2
 
-def neighbours(items: DataFrame, seq: str, identity: float) -> DataFrame:
-    """(a, b): pairs of distinct sequences with at least ``identity``.
 
-    """
+def neighbours(items: DataFrame, seq: str, identity: float) -> DataFrame:
+    """(a, b): pairs of distinct sequences with at least ``identity``."""
     s, n = F.col("s"), F.length("s")
     edits = lambda x: F.floor((1 - identity) * x + 1e-9).cast("int")
     items = items.select(F.col(seq).alias("s")).distinct().filter(n > 0)
-    # The segments are those of the shorter sequence for the edits that the longer one allows.
+    # The segments are those of the shorter sequence (of length n) for the edits that the longer one (m) allows.
+    place = lambda i, k: F.floor(i * F.col("n") / k).cast("int")
     most = F.floor(n / identity + 1e-9).cast("int")
-    sizes = F.sequence(n, most)
-    parts = lambda length: edits(length) + 1
-    seg = F.explode(F.transform(sizes, lambda m: F.struct(m.alias("m"), parts(m).alias("k"))))
-    short = items.select("s", seg.alias("x")).select("s", "x.m", "x.k")
-    cut = F.explode(F.transform(F.sequence(F.lit(0), F.col("k") - 1), lambda i: F.struct(i.alias("i"), F.floor(i * n / F.col("k")).cast("int").alias("at"), (F.floor((i + 1) * n / F.col("k")) - F.floor(i * n / F.col("k"))).cast("int").alias("w"))))
-    keys = short.select("s", "m", "k", n.alias("n"), cut.alias("c")).select("s", "m", "n", "c.i", "c.w", F.substring(s, F.col("c.at") + 1, F.col("c.w")).alias("gram"))
+    short = items.select("s", n.alias("n"), F.explode(F.sequence(n, most)).alias("m")).withColumn("d", edits(F.col("m")))
+    k = F.col("d") + 1 + SPARE
+    short = short.select("s", "n", "m", "d", F.explode(F.sequence(F.lit(0), k - 1)).alias("i"))
+    keys = short.withColumns({"at": place(F.col("i"), k), "w": place(F.col("i") + 1, k) - place(F.col("i"), k)})
+    keys = keys.select("s", "n", "m", "d", "i", "w", F.substring(s, F.col("at") + 1, F.col("w")).alias("gram"))
+    # The d + 1 rarest segments of a sequence are enough.  Empty ones (of very short sequences) are the most frequent.
+    key = ["m", "n", "i", "w", "gram"]
+    rare = Window.partitionBy("s", "m").orderBy(F.when(F.col("w") == 0, F.lit(2**62)).otherwise(F.col("f")), "i")
+    counts = keys.groupBy(*key).agg(F.count("*").alias("f"))
+    # Exploded tables are larger than Spark's estimate of them: no broadcast.
+    keys = keys.join(counts.hint("merge"), key).withColumn("nth", F.row_number().over(rare)).filter(F.col("nth") <= F.col("d") + 1).select("s", *key)
     # The longer sequence offers the grams of that length within its edits of that place, for each shorter length.
     lens = F.sequence(F.ceil(n * identity - 1e-9).cast("int"), n)
     long = items.select("s", n.alias("m"), edits(n).alias("d"), F.explode(lens).alias("n")).filter("n > 0")
-    long = long.select("s", "m", "n", "d", F.explode(F.sequence(F.lit(0), F.col("d"))).alias("i"))
-    at = F.floor(F.col("i") * F.col("n") / (F.col("d") + 1)).cast("int")
-    w = (F.floor((F.col("i") + 1) * F.col("n") / (F.col("d") + 1)) - F.floor(F.col("i") * F.col("n") / (F.col("d") + 1))).cast("int")
-    long = long.withColumns({"at": at, "w": w})
-    spots = F.sequence(F.greatest(F.col("at") - F.col("d"), F.lit(0)), F.greatest(F.least(F.col("at") + F.col("d"), F.col("m") - F.col("w")), F.lit(0)))
-    long = long.select("s", "m", "n", "i", "w", F.explode(F.array_distinct(F.transform(spots, lambda p: F.substring(s, p + 1, F.col("w"))))).alias("gram"))
-    pairs = keys.alias("p").join(long.alias("q"), ["m", "n", "i", "w", "gram"]).filter("p.s <> q.s").select(F.least("p.s", "q.s").alias("a"), F.greatest("p.s", "q.s").alias("b")).distinct()
+    long = long.select("s", "m", "n", "d", F.explode(F.sequence(F.lit(0), F.col("d") + SPARE)).alias("i"))
+    long = long.withColumns({"at": place(F.col("i"), k), "w": place(F.col("i") + 1, k) - place(F.col("i"), k)})
+    first = F.greatest(F.col("at") - F.col("d"), F.lit(0))
+    spots = F.sequence(first, F.greatest(F.least(F.col("at") + F.col("d"), F.col("m") - F.col("w")), first))
+    grams = F.array_distinct(F.transform(spots, lambda p: F.substring(s, p + 1, F.col("w"))))
+    long = long.select("s", "m", "n", "i", "w", F.explode(grams).alias("gram"))
+    found = keys.alias("p").join(long.hint("merge").alias("q"), key).filter("p.s <> q.s")
+    pairs = found.select(F.least("p.s", "q.s").alias("a"), F.greatest("p.s", "q.s").alias("b")).distinct()
     longer = F.greatest(F.length("a"), F.length("b"))
     return pairs.filter(F.levenshtein("a", "b") <= F.floor((1 - identity) * longer + 1e-9))
 
@@ -59,26 +70,27 @@ def greedy_clusters(items: DataFrame, seq: str, count: str, identity: float, mos
     a, b = nodes.select(F.col("s").alias("a"), F.col("n").alias("na")), nodes.select(F.col("s").alias("b"), F.col("n").alias("nb"))
     both = pairs.join(a, "a").join(b, "b")
     first = (F.col("na") > F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("a") < F.col("b")))
-    # s may join the earlier sequence e.
-    edges = checkpointed(both.select(F.when(first, F.struct(F.col("b").alias("s"), F.col("a").alias("e"), F.col("na").alias("ne"))).otherwise(F.struct(F.col("a").alias("s"), F.col("b").alias("e"), F.col("nb").alias("ne"))).alias("x")).select("x.*"))
-    done = checkpointed(nodes.join(edges, "s", "left_anti").select("s", F.col("s").alias("c")))
-    open_ = checkpointed(edges.select("s").distinct())
+    # s may join the earlier sequence e, which is a centroid or not, or (null) not decided.
+    earlier = F.when(first, F.struct(F.col("b").alias("s"), F.col("a").alias("e"), F.col("na").alias("ne")))
+    later = F.struct(F.col("a").alias("s"), F.col("b").alias("e"), F.col("nb").alias("ne"))
+    edges = checkpointed(both.select(earlier.otherwise(later).alias("x")).select("x.*", F.lit(None).cast("boolean").alias("is_seed")))
+    ready = checkpointed(nodes.join(edges, "s", "left_anti").select("s", F.col("s").alias("c")))
+    done = [ready]
     for _ in range(most_rounds):
-        state = edges.join(open_, "s", "left_semi").join(done.withColumnRenamed("s", "e"), "e", "left")
+        decided = ready.select(F.col("s").alias("e"), (F.col("s") == F.col("c")).alias("now"))
+        left = edges.join(ready, "s", "left_anti").join(decided, "e", "left")
+        edges = checkpointed(left.select("s", "e", "ne", F.coalesce("is_seed", "now").alias("is_seed")))
         # The earliest neighbour that is a centroid wins, once every neighbour before it is decided.
         order = F.struct((-F.col("ne")).alias("ne"), "e")
-        best = state.groupBy("s").agg(F.min(F.when(F.col("c") == F.col("e"), order)).alias("seed"), F.min(F.when(F.col("c").isNull(), order)).alias("wait"))
-        ready = best.filter("wait is null or seed < wait").select("s", F.coalesce("seed.e", "s").alias("c"))
-        ready = checkpointed(ready)
+        best = edges.groupBy("s").agg(F.min(F.when(F.col("is_seed"), order)).alias("seed"), F.min(F.when(F.col("is_seed").isNull(), order)).alias("wait"))
+        ready = checkpointed(best.filter("wait is null or seed < wait").select("s", F.coalesce("seed.e", "s").alias("c")))
         if ready.isEmpty():
             break
-        done = checkpointed(done.unionByName(ready))
-        open_ = checkpointed(open_.join(ready, "s", "left_anti"))
-        if open_.isEmpty():
-            break
+        done.append(ready)
     else:
         raise RuntimeError("clustering did not settle")
-    return nodes.join(done, "s").select(F.col("s").alias(seq), F.col("n").alias(count), F.col("c").alias("centroid"), (F.col("c") == F.col("s")).alias("is_seed"))
+    decided = reduce(DataFrame.unionByName, done)
+    return nodes.join(decided, "s").select(F.col("s").alias(seq), F.col("n").alias(count), F.col("c").alias("centroid"), (F.col("c") == F.col("s")).alias("is_seed"))
 
 
 def clonotypes(df: DataFrame, cdr3: str, reads: str, identity: float, at_least: int = 1) -> DataFrame:
