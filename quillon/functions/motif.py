@@ -9,6 +9,7 @@ import warnings
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,8 +30,10 @@ class Motif:
     left_trim: int
     right_trim: int
     patterns: tuple = field(default=(), compare=False)
+    tables: tuple = field(default=(), compare=False)
 
     def __post_init__(self):
+        self.tables = tuple(weight_table(m) for m in (self.left, self.right))
         self.patterns = tuple(re.compile(pattern(m)) for m in (self.left, self.right))
 
 
@@ -77,22 +80,32 @@ def amino_acids(nt: str) -> str:
     return "".join(CODONS.get(nt[i : i + 3], "X") for i in range(0, len(nt), 3))
 
 
-def best_window(aa: str, motif: dict[int, dict[str, float]]) -> tuple[float, int]:
+_LETTERS = "ACDEFGHIKLMNPQRSTVWY"
+_CODE = np.full(256, len(_LETTERS), dtype=np.int64)  # X, * and whatever else weigh nothing
+_CODE[np.frombuffer(_LETTERS.encode(), dtype=np.uint8)] = np.arange(len(_LETTERS))
+
+
+def weight_table(motif: dict[int, dict[str, float]]) -> np.ndarray:
+    """Weights by position and amino acid; 1 for each where the motif has none, 0 for X and *."""
+    table = np.ones((max(motif), len(_LETTERS) + 1))
+    table[:, -1] = 0.0
+    for pos, weights in motif.items():
+        table[pos - 1, :-1] = [weights.get(a, 0.0) for a in _LETTERS]
+    return table
+
+
+def best_window(aa: str, motif: dict[int, dict[str, float]], table: np.ndarray | None = None) -> tuple[float, int]:
     """Greatest product of weights over all windows, and where; windows with X or * do not count."""
-    n = max(motif)
-    best, at = 0.0, -1
-    for i in range(len(aa) - n + 1):
-        window = aa[i : i + n]
-        if "X" in window or "*" in window:
-            continue
-        p = 1.0
-        for pos, weights in motif.items():
-            p *= weights.get(window[pos - 1], 0.0)
-            if p <= best:
-                break
-        if p > best:
-            best, at = p, i
-    return best, at
+    table = weight_table(motif) if table is None else table
+    n = len(aa) - len(table) + 1
+    if n < 1:
+        return 0.0, -1
+    codes = _CODE[np.frombuffer(aa.encode("ascii", "replace"), dtype=np.uint8)]
+    product = np.ones(n)
+    for i, weights in enumerate(table):
+        product *= weights[codes[i : i + n]]
+    at = int(product.argmax())
+    return (float(product[at]), at) if product[at] > 0 else (0.0, -1)
 
 
 def find_cdr3(seq: str | None, motifs: list[Motif], locus: str | None = None) -> dict | None:
@@ -118,8 +131,8 @@ def find_cdr3(seq: str | None, motifs: list[Motif], locus: str | None = None) ->
             for sign, s in strands:
                 for frame in range(3):
                     aa = amino_acids(s[frame:])
-                    p, i = best_window(aa, m.left)
-                    q, j = best_window(aa, m.right)
+                    p, i = best_window(aa, m.left, m.tables[0])
+                    q, j = best_window(aa, m.right, m.tables[1])
                     if p * q > LEAST and j > i and (best is None or p * q > best[4]):
                         start, stop = frame + 3 * (i + m.left_trim), frame + 3 * (j + m.right_trim)
                         if stop > start:

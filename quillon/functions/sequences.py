@@ -23,8 +23,11 @@ def as_column(x: Column | str) -> Column:
 def reverse_complement(seq: Column | str) -> Column:
     """Reversed complement; characters that are no code become N, or n if their code point is 91 or more."""
     known = _FROM + _FROM.lower()
-    clean = F.regexp_replace(as_column(seq), f"[^{known}\\x{{5b}}-\\x{{10ffff}}]", "N")
+    c = as_column(seq)
+    clean = F.regexp_replace(c, f"[^{known}\\x{{5b}}-\\x{{10ffff}}]", "N")
     clean = F.regexp_replace(clean, f"[^{known}]", "n")
+    # Most texts hold codes alone and need no pattern.
+    clean = F.when(F.translate(c, known, "") == "", c).otherwise(clean)
     return F.reverse(F.translate(clean, known, _TO + _TO.lower()))
 
 

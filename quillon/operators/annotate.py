@@ -135,13 +135,15 @@ def trim_reads(reads: DataFrame, sequence: str, quality: str, window: int = 4, l
 
 def merge_pairs(pairs: DataFrame, first: str, second: str, least: int = 10, most_mismatch: float = 0.1) -> DataFrame:
     """Stitch each pair at its longest overlap of at least ``least`` bases within the mismatch rate; null where none fits."""
-    b = reverse_complement(second)
-    sizes = F.sequence(F.least(F.length(first), F.length(second)), F.lit(least), F.lit(-1))
-    chars = lambda s: F.split(s, "")
-    miss = lambda k: F.size(F.filter(F.zip_with(chars(F.right(F.col(first), k)), chars(F.left(F.col("_b"), k)), lambda x, y: x != y), lambda z: z))
-    fits = F.get(F.filter(sizes, lambda k: miss(k) <= F.floor(k * most_mismatch)), F.lit(0))
-    out = pairs.withColumn("_b", b).withColumn("overlap", F.when(F.least(F.length(first), F.length(second)) >= least, fits))
-    return out.withColumn("merged", F.concat(F.col(first), F.substring("_b", F.col("overlap") + 1, F.length("_b")))).drop("_b")
+    n = F.least(F.length(first), F.length(second))
+    out = pairs.withColumn("_b", reverse_complement(second))
+    out = out.withColumns({"_x": F.split(F.col(first), ""), "_y": F.split("_b", "")})
+    unlike = lambda k: F.zip_with(F.slice("_x", F.size("_x") - k + 1, k), F.slice("_y", F.lit(1), k), lambda x, y: (x != y).cast("int"))
+    misses = lambda k: F.aggregate(unlike(k), F.lit(0), lambda s, x: s + x)
+    # From the longest overlap down; none is compared once one fits.
+    longest = F.aggregate(F.sequence(n, F.lit(least), F.lit(-1)), F.lit(None).cast("int"), lambda found, k: F.when(found.isNotNull(), found).when(misses(k) <= F.floor(k * most_mismatch), k))
+    out = out.withColumn("overlap", F.when(n >= least, longest))
+    return out.withColumn("merged", F.concat(F.col(first), F.substring("_b", F.col("overlap") + 1, F.length("_b")))).drop("_b", "_x", "_y")
 
 
 def imgt_mutations(rows: DataFrame) -> DataFrame:

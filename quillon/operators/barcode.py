@@ -72,6 +72,44 @@ def best_offset(seq: str, code: str) -> tuple[int, int]:
     return k - int(matches[at]), at
 
 
+#: Cells (reads by padded length) correlated at a time.
+_CELLS = 1 << 20
+
+
+def best_offsets(reads: list[str], codes: list[str]) -> list[list[tuple[int, int]]]:
+    """``best_offset`` of each code in each read, with all reads of a block and all codes correlated together."""
+    out: list[list[tuple[int, int]]] = [[(-1, -1)] * len(codes) for _ in reads]
+    order = sorted(range(len(reads)), key=lambda i: len(reads[i]))
+    arrays = [np.frombuffer(c.encode("ascii", "replace"), dtype=np.uint8) for c in codes]
+    longest = max(map(len, codes), default=0)
+    start = 0
+    while start < len(order):
+        stop = start + 1
+        while stop < len(order) and (stop + 1 - start) * (len(reads[order[stop]]) + longest) <= _CELLS:
+            stop += 1
+        rows = order[start:stop]
+        start = stop
+        n = np.array([len(reads[i]) for i in rows])
+        width = int(n.max()) + longest
+        if width == longest:
+            continue
+        size = 1 << (width - 1).bit_length()
+        text = np.zeros((len(rows), width), dtype=np.uint8)
+        for k, i in enumerate(rows):
+            text[k, : n[k]] = np.frombuffer(reads[i].encode("ascii", "replace"), dtype=np.uint8)
+        spectra = {x: np.fft.rfft(text == x, size, axis=1) for x in np.unique(np.concatenate(arrays)).tolist()}
+        for j, c in enumerate(arrays):
+            if not len(c):
+                continue
+            total = sum(spectra[x] * np.conj(np.fft.rfft(c == x, size)) for x in np.unique(c).tolist())
+            matches = np.rint(np.fft.irfft(total, size, axis=1)[:, :width]).astype(np.int64)
+            matches[np.arange(width) > (n - len(c))[:, None]] = -1
+            at = matches.argmax(axis=1)
+            for k in np.flatnonzero(n >= len(c)).tolist():
+                out[rows[k]][j] = len(c) - int(matches[k, at[k]]), int(at[k])
+    return out
+
+
 def aligned(reads: DataFrame, seq: str, barcodes: list[tuple[str, str]], most: int = 2) -> DataFrame:
     """``reads`` with the best barcode placement on either strand: barcode, mismatches, offset, strand, recombination.
 
@@ -91,16 +129,13 @@ def aligned(reads: DataFrame, seq: str, barcodes: list[tuple[str, str]], most: i
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
+            plus = [s if isinstance(s, str) else "" for s in b[seq]]
+            places = best_offsets([*plus, *(s.translate(pairs)[::-1] for s in plus)], [code for _, code in codes])
             hits = []
-            for s in b[seq]:
-                best = None
-                if s is not None:
-                    for strand, x in (("+", s), ("-", s.translate(pairs)[::-1])):
-                        for label, code in codes:
-                            d, at = best_offset(x, code)
-                            if 0 <= d <= most and (best is None or d < best["mismatches"]):
-                                best = {"label": label, "mismatches": d, "place": at, "strand": strand}
-                hits.append(best)
+            for i in range(len(plus)):
+                found = [(d, sign, j, at) for sign, row in enumerate((places[i], places[len(plus) + i])) for j, (d, at) in enumerate(row) if 0 <= d <= most]
+                best = min(found, default=None)  # least mismatches, then the plus strand, then the first barcode
+                hits.append(best and {"label": codes[best[2]][0], "mismatches": best[0], "place": best[3], "strand": "+-"[best[1]]})
             yield b.assign(_hit=hits)
 
     rest = marked.filter("_hit is null")

@@ -1,3 +1,6 @@
+import math
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -166,3 +169,19 @@ def test_with_fr4(spark):
     df = spark.createDataFrame([("TGTGCGTGGGGC", 1, 12, []), (None, None, None, None)], "sequence string, cdr3_start int, end int, j_hits array<struct<query:string,germline:string,start:int>>")
     got = al.with_fr4(df, "TGGGG").collect()
     assert (got[0].cdr3_nt, got[0].fr4_frame) == ("TGTGCG", 1) and got[1].cdr3_nt is None
+
+
+def test_best_window_against_a_plain_search():
+    r = random.Random(6)
+    letters = "ACDEFGHIKLMNPQRSTVWY"
+    for _ in range(60):
+        side = {p: {a: r.choice((0.0, 0.1, 0.5, 1.0)) for a in r.sample(letters, 6)} for p in r.sample(range(1, 5), r.randint(1, 3))}
+        aa = "".join(r.choice(letters + "X*") for _ in range(r.randrange(0, 30)))
+        n, best, at = max(side), 0.0, -1
+        for i in range(len(aa) - n + 1):
+            w = aa[i : i + n]
+            p = 0.0 if set(w) & set("X*") else math.prod(side[k].get(w[k - 1], 0.0) for k in side)
+            if p > best * (1 + 1e-12):
+                best, at = p, i
+        got = motif.best_window(aa, side)
+        assert math.isclose(got[0], best, rel_tol=1e-9) and (got[1] == at or math.isclose(best, got[0]))

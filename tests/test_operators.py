@@ -1,3 +1,4 @@
+import random
 import math
 
 import pytest
@@ -276,3 +277,22 @@ def test_cluster_summary_and_report(spark):
     rows = [("M:1:F:1:1101:1:20 1:N:0", "TGTGCGAGAGATTGG", "CARDW", "IGHV1", "IGHJ1", "1"), ("", "TGT", "C", "IGHV1", "IGHJ1", "1")]
     report = pairing.summary(pairing.run_pairing(spark.createDataFrame(rows, "header string, cdr3_nt string, cdr3_aa string, vgene string, jgene string, shm string"))).first()
     assert (report.reads, report.passed, report.paired, report.unpaired, report.unique_pairs) == (2, 1, 0, 1, 0)
+
+
+def test_offsets_of_many_reads_at_once(monkeypatch):
+    r = random.Random(3)
+    reads = ["".join(r.choice("ACGTN") for _ in range(r.randrange(0, 60))) for _ in range(80)]
+    codes = ["ACGTTGCA", "GATTACAG", "C", "AC" * 20]
+    for cells in (1, 500, 1 << 20):
+        monkeypatch.setattr(barcode, "_CELLS", cells)
+        assert barcode.best_offsets(reads, codes) == [[barcode.best_offset(s, c) for c in codes] for s in reads]
+
+
+def test_a_shared_start_does_not_pair_all(spark):
+    r = random.Random(2)
+    rows = [("TGTGCGAAAGAT" + "".join(r.choice("ACGT") for _ in range(36)), 1) for _ in range(300)]
+    rows += [(s[:20] + "A" + s[21:], 1) for s, _ in rows[:40]]
+    df = spark.createDataFrame(rows, "s string, n long").distinct()
+    got = {(x.a, x.b) for x in cluster.neighbours(df, "s", 0.9).collect()}
+    want = {tuple(sorted((rows[i][0], rows[300 + i][0]))) for i in range(40) if rows[i][0] != rows[300 + i][0]}
+    assert want <= got and len(got) < 2 * len(want) + 5
