@@ -6,8 +6,9 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from .motif import amino_acids
 
@@ -99,23 +100,24 @@ FR4_SCHEMA = "cdr3_nt string, cdr3_aa string, cdr3_frame int, fr4_nt string, fr4
 
 
 def with_fr4(rows: DataFrame, pattern: str) -> DataFrame:
-    """``rows(sequence, cdr3_start, end, j_hits)`` with the fields of ``cdr3_and_fr4``; j_hits are (query, germline, start)."""
-    schema = f"{rows.schema.simpleString()[7:-1]},{FR4_SCHEMA.replace(' string', ':string').replace(' int', ':int').replace(', ', ',')}"
-    schema = f"struct<{schema}>"
+    """``rows(sequence, cdr3_start, end, j_hits)`` with the fields of ``cdr3_and_fr4``; j_hits are (query, germline, start).
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    The other columns ride along as they are.
+    """
+    added = T.StructType.fromDDL(FR4_SCHEMA)
+    schema = T.StructType([*rows.schema.fields, *added.fields])
+    kinds = {"string": pa.string(), "int": pa.int32()}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             got = []
-            for read, start, end, hits in zip(b["sequence"], b["cdr3_start"], b["end"], b["j_hits"]):
-                if not isinstance(read, str) or pd.isna(start):
+            for read, start, end, hits in zip(*(b[c].to_pylist() for c in ("sequence", "cdr3_start", "end", "j_hits"))):
+                if read is None or start is None:
                     got.append({})
                     continue
-                start, end = int(start), len(read) if pd.isna(end) else int(end)
-                hits = [dict(h) if isinstance(h, dict) else h.asDict() for h in (hits if hits is not None else [])]
-                got.append(cdr3_and_fr4(read, start, fr4_start(pattern, hits, read[start - 1 : end], start), end))
-            extra = pd.DataFrame(got, columns=["cdr3_nt", "cdr3_aa", "cdr3_frame", "fr4_nt", "fr4_aa", "fr4_frame"], index=b.index).astype(object)
-            yield pd.concat([b, extra.where(extra.notna(), None)], axis=1)
-
-    from pyspark.sql.types import _parse_datatype_string
+                end = len(read) if end is None else end
+                got.append(cdr3_and_fr4(read, start, fr4_start(pattern, hits or [], read[start - 1 : end], start), end))
+            extra = [pa.array([x.get(f.name) for x in got], kinds[f.dataType.simpleString()]) for f in added.fields]
+            yield pa.RecordBatch.from_arrays([*b.columns, *extra], names=schema.names)
 
-    return rows.mapInPandas(run, _parse_datatype_string(schema))
+    return rows.mapInArrow(run, schema)

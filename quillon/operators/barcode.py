@@ -140,7 +140,7 @@ def aligned(reads: DataFrame, seq: str, barcodes: list[tuple[str, str]], most: i
 
     rest = marked.filter("_hit is null")
     out = found.unionByName(rest.mapInPandas(search, rest.schema))
-    return out.select(*reads.columns, F.col("_hit.label").alias("barcode"), "_hit.mismatches", F.col("_hit.place").alias("offset"), "_hit.strand", recombination_of_isotype("_hit.label").alias("recombination"))
+    return out.select(*[F.col(f"`{c}`") for c in reads.columns], F.col("_hit.label").alias("barcode"), "_hit.mismatches", F.col("_hit.place").alias("offset"), "_hit.strand", recombination_of_isotype("_hit.label").alias("recombination"))
 
 
 def isotype_summary(hits: DataFrame) -> DataFrame:

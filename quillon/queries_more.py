@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .functions import convert, genes, motif, sequences
-from .operators import annotate, barcode, cluster, pairing, store
+from .operators import alignments, annotate, barcode, cluster, pairing, store
 from .pipelines import pairing_pipeline, prepare_paired, prepare_single
 from .plans.filters import FieldRules, FilterError, compile_filter
 from .plans.pipeline import register_accumulator, run_pipeline
@@ -304,6 +304,84 @@ def prepared_pairs(spark, sf):
     return prepare_paired(mate(1, "first"), mate(2, "second"), overlap=6).select("header", "sequence")
 
 
+_ALIGNER_SQL = f"""with r as (select p_partkey, p_size, ['AAA', 'CTG', 'GAT', 'TTC', 'GCG'][p_size % 5 + 1] as codon, p_size % 4 = 0 as ins from part),
+s as (select *, 'GGATTC' || codon as cdr1, case when p_size % 11 = 0 then 'Sequence contains unknown characters' when p_size % 7 = 0 then 'Sequence results did not pass alignment filter settings after parsing output;weak'
+  when p_size % 13 = 0 then 'Chain type not recognized' end as failed from r),
+t as (select *, case when ins then substr(cdr1, 1, 1) || substr(cdr1, 3) else cdr1 end as c1 from s),
+u as (select *, 'GAGGTGCAG' || c1 || 'TGGGTCATTAGTAGATTCGCGAAATGGGGC' as nt from t),
+v as (select *, array_to_string([map {{{_AA}}}[substr(nt, 3 * i + 1, 3)] for i in range(length(nt) // 3)], '') as aa from u),
+w as (select *, contains(aa, '*') as stops, p_size % 5 <> 0 as found, contains(aa, 'AK') as framed from v)
+select p_partkey::varchar as SEQ_ID, coalesce(failed, case when ins then 'Insertions have been removed from: CDR1;' else '' end ||
+  case when not stops and not found then 'There are no stop codons in the sequence, but the CDR3 sequence could not be found;' when not stops and not framed then 'The CDR3 is out-of-frame with respect to the translated sequence;' else '' end || 'weak') as notes,
+case when p_size % 7 = 0 then round(1 / 42, 6) else round((42 - p_size % 3) / 42, 6) end as identity,
+case when failed is null then 'VDJ' end as recombination, case when failed is null then 'heavy' end as chain, case when failed is null then c1 end as cdr1, case when failed is null then case when ins then cdr1 else '' end end as gapped,
+case when failed is null then aa end as aa, case when failed is null then p_size % 3 end as mutations, case when failed is null then round(100 * (p_size % 3) / 36, 2) end as percent,
+case when failed is null then case when stops then 'NO' when not found then 'MAYBE' when framed then 'YES' else 'NO' end end as productive,
+case when failed is null then case when ins then '1,1,3,3,3,' || case when found then '1' else '' end || ',' else 'a,b,c,d,e,' || case when found then '1' else '' end || ',' end end as frames from w"""
+
+
+@query(_ALIGNER_SQL)
+def aligner_rows(spark, sf):
+    """The main aligner's table to annotated rows: filters, insertions removed, frames, mutations, productivity."""
+    p = table(spark, sf, "part")
+    size = F.col("p_size")
+    ins = size % 4 == 0
+    codon = F.element_at(F.array(*map(F.lit, ("AAA", "CTG", "GAT", "TTC", "GCG"))), size % 5 + 1)
+    cdr1 = F.concat(F.lit("GGATTC"), codon)
+    v = F.concat(F.lit("GAGGTGCAG"), cdr1, F.lit("TGGGTCATTAGTAGATTC"))
+    read = F.concat(v, F.lit("GCGAAATGGGGC"))
+    text = lambda x: F.lit(x)
+    spans = {"FR1": "0::8", "CDR1": "9::17", "FR2": "18::23", "CDR2": "24::29", "FR3": "30::35"}
+    fields = {
+        "Header": F.concat(F.lit("r"), "p_partkey"),
+        "SEQ_ID": F.col("p_partkey").cast("string"),
+        "Sequence": F.when(size % 11 == 0, "ACZ").otherwise(read),
+        "Strand_Corrected_Sequence": read,
+        "Notes": text("weak"),
+        "Query_Start": text("0"),
+        "Query_End": text("47"),
+        "Codon_Start": text("0"),
+        "Top_V-Gene_Hits": F.when(size % 13 == 0, "XX1").otherwise("IGHV1-2*01,IGHV3"),
+        "Top_J-Gene_Hits": text(""),
+        "5_Prime_Annotation": text("FR1"),
+        "3_Prime_Annotation": text("FR4"),
+        "VGENE: Query_Start": text("0"),
+        "VGENE: Query_End": text("35"),
+        "JGENE: Query_Start": text("42"),
+        "JGENE: Query_End": text("47"),
+        "VGENE: Total_Matches": F.when(size % 7 == 0, "1").otherwise((36 - size % 3).cast("string")),
+        "JGENE: Total_Matches": F.when(size % 7 == 0, "0").otherwise("6"),
+        "VGENE: Total_Mismatches": (size % 3).cast("string"),
+        "JGENE: Total_Mismatches": text("0"),
+        "VGENE: Total_Indel": F.when(ins, "1").otherwise("0"),
+        "VGENE_Indels: FR1,CDR1,FR2,CDR2,FR3,CDR3": F.when(ins, "0,1,0,0,0,0").otherwise("0,0,0,0,0,0"),
+        "VGENE_Reading_Frames: FR1,CDR1,FR2,CDR2,FR3,CDR3": F.when(size % 5 != 0, "a,b,c,d,e,1").otherwise("a,b,c,d,e,"),
+        "VGENE: Alignment_Sequence_Query": v,
+        "VGENE: Alignment_Sequence_Germline": F.when(ins, F.concat(F.substring(v, 1, 10), F.lit("-"), F.substring(v, 12, 40))).otherwise(v),
+        "Full_Length_Sequence.NT": read,
+        "CDR3_Sequence.NT": F.when(size % 5 != 0, "GCGAAA").otherwise(""),
+        "CDR3_Sequence.AA": F.when(size % 5 != 0, "AK").otherwise(""),
+        **{f"VGENE: Query_{r}_Start::End": text(x) for r, x in spans.items()},
+        **{f"VGENE: Alignment_{r}_Start::End": text(x) for r, x in spans.items()},
+        **{f"{r}_Sequence.NT": F.substring(read, int(x.split("::")[0]) + 1, int(x.split("::")[1]) - int(x.split("::")[0]) + 1) for r, x in spans.items()},
+    }
+    out = alignments.parse_alignments(p.select(*[c.alias(k) for k, c in fields.items()]), least_length=40, insertions="remove")
+    shown = {
+        "SEQ_ID": "SEQ_ID",
+        "Notes": "notes",
+        "Recombination_Type": "recombination",
+        "Chain": "chain",
+        "CDR1_Sequence.NT": "cdr1",
+        "CDR1_Sequence.NT.Gapped": "gapped",
+        "Full_Length_Sequence.AA": "aa",
+        "VRegion.SHM.NT": "mutations",
+        "VRegion.SHM.Per_nt": "percent",
+        "Productive": "productive",
+        "Reading_Frames: FR1,CDR1,FR2,CDR2,FR3,CDR3,FR4": "frames",
+    }
+    return out.select(F.round("Percent_Identity", 6).alias("identity"), *[F.col(f"`{k}`").alias(v) for k, v in shown.items()])
+
+
 # Keys, joins, stores
 
 

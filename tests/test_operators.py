@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quillon.functions.sequences import reverse_complement
-from quillon.operators import annotate, barcode, cluster, pairing, repertoire, stats, store
+from quillon.operators import alignments, annotate, barcode, cluster, pairing, repertoire, stats, store
 
 
 def test_pairing_classes(spark):
@@ -296,3 +296,19 @@ def test_a_shared_start_does_not_pair_all(spark):
     got = {(x.a, x.b) for x in cluster.neighbours(df, "s", 0.9).collect()}
     want = {tuple(sorted((rows[i][0], rows[300 + i][0]))) for i in range(40) if rows[i][0] != rows[300 + i][0]}
     assert want <= got and len(got) < 2 * len(want) + 5
+
+
+def test_alignments_with_a_search_for_fr4(spark):
+    read = "GAGGTGCAG" + "AGATTCTGT" + "GCGAAAGATTACTGGGGCCAAGGC" + "ACGTTGCATT"
+    row = {"Header": 'r1 <{"a": 1}', "Sequence": read, "Strand_Corrected_Sequence": read, "Query_Start": "0", "Query_End": "41", "Codon_Start": "0", "Locus": "IGH"}
+    row |= {"5_Prime_Annotation": "FR1", "3_Prime_Annotation": "FR4", "VGENE: Query_Start": "0", "VGENE: Query_End": "17", "VGENE: Total_Matches": "18", "JGENE: Query_Start": "30", "JGENE: Query_End": "41", "JGENE: Total_Matches": "12"}
+    row |= {"JGENE: Alignment_Sequence_Query": "TGGGGCCAAGGC", "JGENE: Alignment_Sequence_Germline": "TGGGGCCAAGGC", "VGENE: Query_FR1_Start::End": "0::8", "VGENE: Query_FR3_Start::End": "9::17", "FR1_Sequence.NT": read[:9], "FR3_Sequence.NT": read[9:18], "Full_Length_Sequence.NT": read[:42]}
+    rows = spark.createDataFrame([tuple(row.values()), tuple("" if k == "Sequence" else v for k, v in row.items())], ", ".join(f"`{k}` string" for k in row))
+    out = alignments.parse_alignments(rows, least_length=20, fr4_pattern="TGGGGC[ACGT]{3}GGC", isotypes=[("IGHG", "ACGTTGCA")])
+    assert out.columns == alignments.columns() and len(out.columns) == len(set(out.columns)) == 95
+    good, empty = sorted(out.collect(), key=lambda r: r["Notes"] == "Sequence not found")
+    assert (good["Header"], good["Document_Header"]) == ("r1", row["Header"])
+    assert (good["CDR3_Sequence.NT"], good["CDR3_Sequence.AA"], good["FR4_Sequence.NT"]) == ("GCGAAAGATTAC", "AKDY", "TGGGGCCAAGGC")
+    assert (good["Productive"], good["Stop_Codon"], good["Full_Length"], good["Recombination_Type"], good["Isotype"]) == ("YES", False, True, "VDJ", "IGHG")
+    assert good["FR1_Sequence.AA"] == "EVQ" and good["JRegion.SHM.NT"] == 0
+    assert empty["Errors"] == "Sequence not found" and empty["Productive"] is None
