@@ -30,9 +30,9 @@ from __future__ import annotations
 
 import math
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
-from itertools import repeat
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -71,10 +71,13 @@ class Model:
                     for j in range(len(padded) - size + 1):
                         grams.setdefault(padded[j : j + size], np.zeros(k))[i] += weight
         self.words = self._logs(words, 0.5)
-        self.grams: dict[str, list[float]] = {}
+        self.grams: dict[str, int] = {}  # rows of gram_rows
+        parts = []
         for size in range(1, longest + 1):
             of_size = {g: v for g, v in grams.items() if len(g) == size}
-            self.grams.update(zip(of_size, self._logs(of_size, 0.5).matrix.tolist()))
+            self.grams.update({g: len(self.grams) + i for i, g in enumerate(of_size)})
+            parts.append(self._logs(of_size, 0.5).matrix)
+        self.gram_rows = np.concatenate(parts) if parts else np.zeros((0, k))
 
     class _Table:
         def __init__(self, keys: dict[str, int], matrix: np.ndarray):
@@ -86,19 +89,29 @@ class Model:
         m = np.array(list(table.values())) + alpha
         return self._Table({w: i for i, w in enumerate(table)}, np.log(m / m.sum(axis=0)))
 
-    def unseen(self, word: str) -> list[float] | None:
-        """The backed-off vector of a word, or None if no part of it is known."""
-        padded, i, n = f"^{word}$", 0, 0
-        total = [0.0] * len(self.langs)
-        while i < len(padded):
-            for size in range(min(self.longest, len(padded) - i), 0, -1):
-                v = self.grams.get(padded[i : i + size])
-                if v is not None:
-                    total = [a + b for a, b in zip(total, v)]
-                    n += 1
+    def places(self, word: str) -> list[int]:
+        """The gram (its row) at each place of an unseen word where one is known, the longest there is."""
+        padded, get, longest = f"^{word}$", self.grams.get, self.longest
+        out = []
+        for i in range(len(padded)):
+            for stop in range(i + longest, i, -1):
+                at = get(padded[i:stop])
+                if at is not None:
+                    out.append(at)
                     break
-            i += 1
-        return [x / n for x in total] if n else None
+        return out
+
+    def unseen(self, some: list[str]) -> np.ndarray:
+        """The backed-off vectors of words: the means over their places; zeros where no part is known."""
+        places = [self.places(w) for w in some]
+        sizes = np.array([len(x) for x in places], dtype=np.int64)
+        out = np.zeros((len(some), len(self.langs)))
+        there = np.flatnonzero(sizes)
+        if len(there):
+            flat = np.fromiter(chain.from_iterable(places), dtype=np.int64, count=int(sizes.sum()))
+            starts = (np.cumsum(sizes) - sizes)[there]
+            out[there] = np.add.reduceat(self.gram_rows[flat], starts, axis=0) / sizes[there, None]
+        return out
 
 
 def words(text: str | None) -> list[str]:
@@ -122,27 +135,22 @@ class Scorer:
     def _forget(self) -> None:
         self.at = dict(self.model.words.keys)
 
-    def _unseen(self, w: str) -> np.ndarray:
-        v = self.model.unseen(w)
-        return np.zeros(self.rows.shape[1]) if v is None else np.array(v)
-
     def _sum(self, some: list[str]) -> np.ndarray:
         at = np.fromiter(map(self.at.get, some, repeat(-1)), dtype=np.int64, count=len(some))
-        total = np.zeros(self.rows.shape[1])
-        for i in np.flatnonzero(at < 0).tolist():
-            w = some[i]
-            place = self.at.get(w)
-            if place is None:
-                v = self._unseen(w)
-                if len(w) > _LONG or len(self.at) == len(self.rows):  # scored whole like any other, but not kept
-                    total += v
-                    continue
-                place = self.at[w] = len(self.at)
-                self.rows[place] = v
-            at[i] = place
-        total += self.rows[at[at >= 0]].sum(axis=0)
-        if len(self.at) == len(self.rows):
-            self._forget()
+        total = self.rows[at[at >= 0]].sum(axis=0)
+        missing = np.flatnonzero(at < 0).tolist()
+        if missing:
+            counts = Counter(some[i] for i in missing)
+            new = list(counts)
+            vectors = self.model.unseen(new)
+            total += np.array([counts[w] for w in new]) @ vectors
+            keep = [i for i, w in enumerate(new) if len(w) <= _LONG]  # a long one is scored whole like any other, but not kept
+            if len(self.at) + len(keep) > len(self.rows):
+                self._forget()
+            keep = keep[: len(self.rows) - len(self.at)]
+            first = len(self.at)
+            self.rows[first : first + len(keep)] = vectors[keep]
+            self.at.update({new[i]: first + j for j, i in enumerate(keep)})
         return total
 
     def predict(self, text: str | None) -> tuple[str, float]:

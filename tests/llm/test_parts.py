@@ -352,7 +352,7 @@ def test_language_scores_against_a_plain_version(small, monkeypatch):
                 continue
             padded, got = f"^{w}$", []
             for i in range(len(padded)):
-                got += [model.grams[padded[i : i + n]] for n in range(language_id.LONGEST, 0, -1) if padded[i : i + n] in model.grams][:1]
+                got += [model.gram_rows[model.grams[padded[i : i + n]]] for n in range(language_id.LONGEST, 0, -1) if padded[i : i + n] in model.grams][:1]
             total += np.mean(got, axis=0) if got else 0
         want = ("und", 0.0)
         if found:
@@ -372,8 +372,8 @@ def test_long_words_are_scored_whole():
     assert not any(len(w) > language_id._LONG for w in scorer.at)
     padded, rows = f"^{word}$", []
     for i in range(len(padded)):
-        rows.append(next((model.grams[padded[i : i + n]] for n in range(language_id.LONGEST, 0, -1) if padded[i : i + n] in model.grams), None))
-    assert np.allclose(model.unseen(word), np.mean([x for x in rows if x is not None], axis=0))
+        rows.append(next((model.gram_rows[model.grams[padded[i : i + n]]] for n in range(language_id.LONGEST, 0, -1) if padded[i : i + n] in model.grams), None))
+    assert np.allclose(model.unseen([word])[0], np.mean([x for x in rows if x is not None], axis=0))
 
 
 JOINING = r"(?i:'s|'t|'re|'ve|'m|'ll|'d)|[^\r\n\p{L}\p{N}]?\p{L}+|\p{N}{1,3}| ?[^\s\p{L}\p{N}]+[\r\n]*|\s*[\r\n]+|\s+(?!\S)|\s+"
