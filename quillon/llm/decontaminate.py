@@ -3,8 +3,10 @@
 The windows of all benchmark items (10 consecutive normalised words; an item
 with fewer words is one window) form a set.  Its measured size decides how
 many blocks it is split into: each block is at most ``block_bytes``, so what
-is broadcast has a fixed bound however large the benchmark is.  Documents are
-scanned where they are read, without a shuffle: rolling hashes over word
+is broadcast has a fixed bound however large the benchmark is.  With more than
+one block the documents are written once with row numbers, and each block gives
+only the rows that it hits.  Documents are scanned where they are read, without
+a shuffle: rolling hashes over word
 numbers propose hits, and each is verified on the words themselves.
 
 Defined cases: null or word-free text has no words and no hits; items whose id
@@ -17,9 +19,11 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -108,6 +112,11 @@ class _Matcher:
                     out.append((i, n, gram))
         return out
 
+    def spans(self, w: list[bytes]) -> tuple[list[tuple[int, int]], set[str]]:
+        """The word ranges that are hit in ``w``, and the items that hit them."""
+        found = self.find(w)
+        return [(i, i + n) for i, n, _ in found], {x for _, _, g in found for x in self.grams[g]}
+
 
 def _merge(spans: list[tuple[int, int]]) -> list[list[int]]:
     out: list[list[int]] = []
@@ -138,53 +147,79 @@ def scan(docs: DataFrame, bench: DataFrame, width: int = WINDOW, block_bytes: in
     ``clean_text`` is the text without its hit spans where ``clean`` is set,
     otherwise null.  Names that ``docs`` has already get a leading underscore.
     """
-    grams = windows(bench, width)
-    grams = staged(grams, "grams")
+    grams = staged(windows(bench, width), "grams")
     size = grams.agg(F.sum(F.octet_length("gram") + F.octet_length("item_id") + 120)).first()[0] or 0
     blocks = max(1, -(-int(size) // block_bytes))
-    names = {x: fresh(x, docs.columns) for x in ("n_words", "hit_spans", "hit_items", "clean_text")}
-    out = docs
-    old = None
-    for k in range(blocks):
+
+    def block(k: int) -> Broadcast:
         part = grams if blocks == 1 else grams.filter(F.pmod(F.xxhash64("gram"), F.lit(blocks)) == k)
         held: dict[bytes, list[str]] = {}
         for item, gram in ((r[0], bytes(r[1])) for r in part.select("item_id", "gram").toLocalIterator()):
             held.setdefault(gram, []).append(item)
-        out = _scan_block(out, held, names, first=k == 0, last=k == blocks - 1, clean=clean)
-        if blocks > 1 and k < blocks - 1:  # one block's set at a time is held by the workers
-            out = staged(out, "hits")
-            if old is not None:
-                discard(old)
-            old = out
+        return docs.sparkSession.sparkContext.broadcast(held)
+
+    names = [fresh(x, docs.columns) for x in ("n_words", "hit_spans", "hit_items", "clean_text")]
+    added = T.StructType.fromDDL("a long, b string, c array<string>, d string").fields
+    schema = T.StructType([*docs.schema.fields, *(T.StructField(n, f.dataType) for n, f in zip(names, added))])
+    at, n = docs.columns.index("text"), len(docs.columns)
+
+    def finished(b: pa.RecordBatch, hits) -> pa.RecordBatch:
+        """The rows of a batch with what ``hits(number, words)`` tells: spans and items."""
+        rows = []
+        for i, text in enumerate(b.column(at).cast(pa.large_binary()).to_pylist()):
+            w = words(text)
+            spans, items = hits(i, w)
+            merged = _merge(spans)
+            cleaned = (remove_spans(text, merged) if merged else text).decode("utf-8", "replace") if clean and text is not None else None
+            rows.append((len(w), json.dumps(merged), sorted(items), cleaned))
+        cols = list(zip(*rows)) or [()] * 4
+        kinds = (pa.int64(), pa.string(), pa.list_(pa.string()), pa.string())
+        return pa.RecordBatch.from_arrays([*b.columns[:n], *(pa.array(c, t) for c, t in zip(cols, kinds))], names=schema.names)
+
+    if blocks == 1:
+        cast = block(0)
+        discard(grams)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            matcher = _Matcher(cast.value)
+            for b in batches:
+                yield finished(b, lambda i, w: matcher.spans(w))
+
+        return docs.mapInArrow(run, schema)
+
+    # Documents are written once, with a number for each row; a block gives the numbers of rows that it hits.
+    row = fresh("row", docs.columns)
+    kept = staged(docs.withColumn(row, F.monotonically_increasing_id()), "documents")
+    parts = [staged(_hits(kept.select(F.col(row).alias("row"), "text"), block(k)), "hits") for k in range(blocks)]
     discard(grams)
-    return out
+    listed = reduce(DataFrame.unionByName, parts).groupBy("row").agg(F.flatten(F.collect_list("spans")).alias("spans"), F.flatten(F.collect_list("items")).alias("items"))
+    spans, items = (fresh(x, [*docs.columns, row]) for x in ("spans", "items"))
+    listed = listed.select(F.col("row").alias(row), F.col("spans").alias(spans), F.col("items").alias(items))
 
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            told, named = b.column(n).to_pylist(), b.column(n + 1).to_pylist()
+            yield finished(b, lambda i, w: ([(x["a"], x["b"]) for x in told[i] or ()], set(named[i] or ())))
 
-def _scan_block(docs: DataFrame, held: dict[bytes, list[str]], names: dict[str, str], first: bool, last: bool, clean: bool) -> DataFrame:
-    cast = docs.sparkSession.sparkContext.broadcast(held)
-    own = docs.columns if first else docs.columns[: -len(names)]
-    schema = T.StructType(list(docs.schema.fields[: len(own)]) + [T.StructField(names["n_words"], T.LongType()), T.StructField(names["hit_spans"], T.StringType()), T.StructField(names["hit_items"], T.ArrayType(T.StringType())), T.StructField(names["clean_text"], T.StringType())])
-    at = own.index("text")
+    return kept.join(listed, row, "left").select(*docs.columns, spans, items).mapInArrow(join, schema)
+
+
+def _hits(docs: DataFrame, cast: Broadcast) -> DataFrame:
+    """(row, spans, items) of the rows that a block of windows hits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = _Matcher(cast.value)
         for b in batches:
-            n_words, spans, items, cleaned = [], [], [], []
-            before = [json.loads(x) for x in b.column(len(own) + 1).to_pylist()] if not first else None
-            found = b.column(len(own) + 2).to_pylist() if not first else None
-            for i, text in enumerate(b.column(at).cast(pa.large_binary()).to_pylist()):
-                w = words(text)
-                hits = matcher.find(w)
-                span = _merge([(s, s + n) for s, n, _ in hits] + ([tuple(x) for x in before[i]] if before else []))
-                item = {x for _, _, g in hits for x in matcher.grams[g]} | set(found[i] if found else ())
-                n_words.append(len(w))
-                spans.append(json.dumps(span))
-                items.append(sorted(item))
-                cleaned.append((remove_spans(text, span) if span else text) if clean and last and text is not None else None)
-            columns = [*b.columns[: len(own)], pa.array(n_words, pa.int64()), pa.array(spans, pa.string()), pa.array(items, pa.list_(pa.string())), pa.array([None if x is None else x.decode("utf-8", "replace") for x in cleaned], pa.string())]
-            yield pa.RecordBatch.from_arrays(columns, [*b.schema.names[: len(own)], *names.values()])
-
-    return docs.mapInArrow(run, schema)
+            rows = []
+            for i, text in zip(b["row"].to_pylist(), b["text"].cast(pa.large_binary()).to_pylist()):
+                spans, items = matcher.spans(words(text))
+                if spans:
+                    rows.append((i, [{"a": x, "b": y} for x, y in _merge(spans)], sorted(items)))
+            cols = list(zip(*rows)) or [()] * 3
+            kinds = (pa.int64(), pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())])), pa.list_(pa.string()))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names=["row", "spans", "items"])
+
+    return docs.mapInArrow(run, "row long, spans array<struct<a:int,b:int>>, items array<string>")
 
 
 def decontaminate(docs: DataFrame, bench: DataFrame, remove: str = "documents", width: int = WINDOW) -> DataFrame:
