@@ -312,3 +312,17 @@ def test_alignments_with_a_search_for_fr4(spark):
     assert (good["Productive"], good["Stop_Codon"], good["Full_Length"], good["Recombination_Type"], good["Isotype"]) == ("YES", False, True, "VDJ", "IGHG")
     assert good["FR1_Sequence.AA"] == "EVQ" and good["JRegion.SHM.NT"] == 0
     assert empty["Errors"] == "Sequence not found" and empty["Productive"] is None
+
+
+def test_pipelines_with_an_aligner(spark):
+    from quillon import pipelines
+
+    read = "GAGGTGCAGCTGGTGGAGTCTGGGGGAGGC" * 4
+    reads = spark.createDataFrame([("r1", read, "I" * len(read)), ("r2", read[:20], "I" * 20)], "header string, sequence string, quality string")
+    line = """/^>/{h=substr($0,2)} !/^>/{n=length($0); print h"\\t"$0"\\t"$0"\\t0\\t"n-1"\\t0\\tIGH\\t0\\t"n-1"\\t"n}"""
+    fields = ["Header", "Sequence", "Strand_Corrected_Sequence", "Query_Start", "Query_End", "Codon_Start", "Locus", "VGENE: Query_Start", "VGENE: Query_End", "VGENE: Total_Matches"]
+    out = pipelines.aligner_pipeline(reads, ["awk", line.replace("\\\\", "\\")], fields, min_length=30).collect()
+    assert [(r["Header"], r["Alignment_Length"], r["Recombination_Type"], r["Percent_Identity"]) for r in out] == [("r1", 120, "VDJ", 1.0)]  # r2 is too short
+    clone = """/^>/{h=substr($0,2)} !/^>/{if (h=="r1") print h"\\tIGHV1(90)\\t\\tIGHJ4(50)"}"""
+    out = pipelines.clone_pipeline(reads, ["awk", clone.replace("\\\\", "\\")], ["Read id", "All V hits", "All D hits", "All J hits"], min_length=10).collect()
+    assert sorted((r.header, r.note, r.recombination if r.note is None else None) for r in out) == [("r1", None, "VDJ"), ("r2", "no alignment", None)]
