@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.convert import index_text
 from ..functions.sequences import reverse_complement
 
 
@@ -27,6 +29,27 @@ def validate_experiment(exp: Mapping, required: Sequence[str], known_users: Sequ
         raise InvalidInsert("an owner has an experiment of this project and name")
 
 
+def experiment_document(exp: Mapping, user: Mapping, required: Sequence[str], known_users: Sequence[str], existing: DataFrame, created: str) -> dict:
+    """A validated experiment with the fields that the store manages.
+
+    Empty fields go; names lose ``, ; / \\``; searched texts get normalised
+    copies, by which another experiment of an owner may not be equal; owners may
+    read; the rest is who made it when, whether a curator did, and no sequences.
+    """
+    doc = {k: v for k, v in exp.items() if v not in (None, "", [])}
+    for k in ("PROJECT_NAME", "EXPERIMENT_NAME"):
+        if k in doc:
+            doc[k] = re.sub(r"[,;/\\]", "", doc[k])
+    plain = lambda v: re.sub(r"[\s_,;\-/:]", "", v).lower()
+    names = ("PROJECT_NAME", "EXPERIMENT_NAME")
+    alike = existing.withColumns({k: F.when(index_text(k) == plain(doc[k]), F.lit(doc[k])).otherwise(F.col(k)) for k in names if k in doc})
+    validate_experiment(doc, required, known_users, alike)
+    owners = list(doc["OWNERS_OF_EXPERIMENT"])
+    doc["READ_ACCESS"] = sorted({*doc.get("READ_ACCESS", ()), *owners})
+    doc["DUPLICATED_FIELDS"] = {k: plain(doc[k]) for k in (*names, "SPECIES") if isinstance(doc.get(k), str)}
+    return doc | {"UPLOADED_BY": user["user"], "EXPERIMENT_CREATION_DATE": created, "CURATED": bool(user.get("curator")), "SEQ_COUNT": 0}
+
+
 def read_key(header: Column, sequence: Column) -> Column:
     """The same for a read and its reverse complement."""
     s = F.upper(sequence)

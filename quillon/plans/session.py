@@ -76,10 +76,19 @@ class Query:
     def explain(self) -> str:
         return self.df._sc._jvm.PythonSQLUtils.explainString(self.df._jdf.queryExecution(), "formatted")
 
-    def rows(self, chunk: int = 0, flat: bool = False) -> Iterator:
-        """Rows one by one without collecting them, or lists of ``chunk`` rows."""
+    def rows(self, chunk: int = 0, flat: bool = False, progress: Callable[[int], None] | None = None, every: int = 10) -> Iterator:
+        """Rows one by one without collecting them, or lists of ``chunk`` rows.
+
+        ``progress`` is told each further ``every`` percent of the rows; that needs a count first.
+        """
+        df = flatten(self.df) if flat else self.df
+        total = df.count() if progress else 0
+        told = 0
         held: list[Row] = []
-        for row in (flatten(self.df) if flat else self.df).toLocalIterator():
+        for i, row in enumerate(df.toLocalIterator(), 1):
+            if progress and 100 * i // total // every > told:
+                told = 100 * i // total // every
+                progress(told * every)
             if not chunk:
                 yield row
                 continue
@@ -90,6 +99,28 @@ class Query:
         if held:
             yield held
 
+    def facets(self, fields: Sequence[str]) -> DataFrame:
+        """(field, value, counts): how many rows have each value of the fields; elements of arrays each on their own."""
+        entries = []
+        for f in fields:
+            column, kind = resolve(self.df.schema, f)
+            values = F.array_distinct(column) if kind.typeName() == "array" else F.array(column)
+            entries.append(F.transform(values, lambda v: F.struct(F.lit(f).alias("field"), v.cast("string").alias("value"))))
+        each = self.df.select(F.explode(F.concat(*[F.coalesce(e, F.array()) for e in entries])).alias("x")).select("x.*")
+        return each.filter("value is not null").groupBy("field", "value").agg(F.count("*").alias("counts"))
+
+    def search(self, text: str, fields: Sequence[str]) -> Query:
+        """Rows of which a field contains all words of ``text``, whatever their case."""
+        words = text.lower().split()
+        hit = F.lit(False)
+        for f in fields:
+            column = F.lower(resolve(self.df.schema, f)[0].cast("string"))
+            found = F.lit(True)
+            for w in words:
+                found = found & column.contains(w)
+            hit = hit | F.coalesce(found, F.lit(False))
+        return self._next(self.df.filter(hit))
+
 
 def project(df: DataFrame, fields: Mapping[str, int] | Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """Inclusion (a path selects its sub-tree), or exclusion where all flags are 0; ``keep`` columns stay."""

@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .functions import convert, genes, motif, sequences
+from .functions import alignment, convert, genes, motif, names, sequences
 from .operators import alignments, annotate, barcode, cluster, pairing, store
 from .pipelines import pairing_pipeline, prepare_paired, prepare_single
 from .plans.filters import FieldRules, FilterError, compile_filter
 from .plans.pipeline import register_accumulator, run_pipeline
-from .plans.session import RAW, Dispatcher, Session, with_duplicated_fields
+from .plans.session import RAW, Dispatcher, Query, Session, with_duplicated_fields
 from .queries import query, table
 from .queries_files import _NT_SQL, nucleotides
 
@@ -104,9 +104,61 @@ def pipeline_text_descending(spark, sf):
     return run_pipeline(table(spark, sf, "part"), stages)
 
 
+@query("select 'p_type' as field, p_type as value, count(*) as counts from part group by all union all select 'words', w, count(*) from (select p_partkey, unnest(list_distinct(string_split(p_name, ' '))) as w from part) group by all")
+def facets(spark, sf):
+    return Query(table(spark, sf, "part").withColumn("words", F.split("p_name", " "))).facets(["p_type", "words"])
+
+
+@query("select p_partkey from part where (contains(lower(p_name), 'ring') and contains(lower(p_name), 'blue')) or (contains(lower(p_type), 'ring') and contains(lower(p_type), 'blue'))")
+def searched_rows(spark, sf):
+    return Query(table(spark, sf, "part")).search("Blue RING", ["p_name", "p_type"]).project(["p_partkey"]).df
+
+
+@query("select unnest([20, 40, 60, 80, 100]) as percent, 25 as rows")
+def row_progress(spark, sf):
+    told: list[int] = []
+    n = sum(1 for _ in Query(table(spark, sf, "nation")).rows(progress=told.append, every=20))
+    return spark.createDataFrame([(x, n) for x in told], "percent int, rows int")
+
+
+@query("select c_custkey, case when c_custkey % 3 = 0 then c_name when c_custkey % 3 = 1 then c_name || '.xyz' else c_name || '.v1' end as stem from customer")
+def file_names(spark, sf):
+    k = F.col("c_custkey") % 3
+    name = F.concat("c_name", F.when(k == 0, ".fasta").when(k == 1, ".xyz").otherwise(".v1.json"))
+    return table(spark, sf, "customer").select("c_custkey", names.without_extension(name).alias("stem"))
+
+
+@query("select * from (values ('PROJECT_NAME', 'My Project'), ('READ_ACCESS', 'user1,user2'), ('SEARCHED', 'myproject'), ('STATE', 'user1 2024-01-01 true 0'), ('TAKEN', 'refused')) as t(field, value)")
+def experiment_fields(spark, sf):
+    existing = table(spark, sf, "customer").select(F.col("c_mktsegment").alias("PROJECT_NAME"), F.col("c_name").alias("EXPERIMENT_NAME"), F.array(F.concat(F.lit("user"), "c_nationkey")).alias("OWNERS_OF_EXPERIMENT"))
+    needed = ["PROJECT_NAME", "EXPERIMENT_NAME", "OWNERS_OF_EXPERIMENT"]
+    make = lambda doc: store.experiment_document(doc, {"user": "user1", "curator": True}, needed, [f"user{i}" for i in range(25)], existing, "2024-01-01")
+    doc = make({"PROJECT_NAME": "My, Pro/ject;", "EXPERIMENT_NAME": "E", "OWNERS_OF_EXPERIMENT": ["user1"], "READ_ACCESS": ["user2"], "LAB_NOTES": ""})
+    first = existing.orderBy("EXPERIMENT_NAME").first()
+    try:
+        make({"PROJECT_NAME": first.PROJECT_NAME.lower(), "EXPERIMENT_NAME": f"{first.EXPERIMENT_NAME} ", "OWNERS_OF_EXPERIMENT": first.OWNERS_OF_EXPERIMENT})
+        taken = "accepted"
+    except store.InvalidInsert:
+        taken = "refused"
+    state = f"{doc['UPLOADED_BY']} {doc['EXPERIMENT_CREATION_DATE']} {str(doc['CURATED']).lower()} {doc['SEQ_COUNT']}"
+    rows = [("PROJECT_NAME", doc["PROJECT_NAME"]), ("READ_ACCESS", ",".join(doc["READ_ACCESS"])), ("SEARCHED", doc["DUPLICATED_FIELDS"]["PROJECT_NAME"]), ("STATE", state), ("TAKEN", taken)]
+    return spark.createDataFrame(rows, "field string, value string")
+
+
 # Functions
 
 
+@query(f"""with s as (select p_partkey, 'GCG' || {_NT_SQL.format(c="p_name")} || 'TGGGG' || {_NT_SQL.format(c="p_type")} as s from part),
+p as (select *, list_max([i for i in range(1, length(s) - 3) if substr(s, i, 4) = 'TGGG']) as place from s)
+select p_partkey, substr(s, 1, place - 1) as cdr3_nt, substr(s, place) as fr4_nt, ((place - 1) % 3 + 1)::int as fr4_frame from p""")
+def fr4_positions(spark, sf):
+    """FR4 at the last match of its pattern in the read, and the CDR3 before it."""
+    rows = table(spark, sf, "part").select("p_partkey", F.concat(F.lit("GCG"), nucleotides("p_name"), F.lit("TGGGG"), nucleotides("p_type")).alias("sequence"))
+    none = F.array().cast("array<struct<query:string,germline:string,start:int>>")
+    rows = rows.select("p_partkey", "sequence", F.lit(1).alias("cdr3_start"), F.length("sequence").alias("end"), none.alias("j_hits"))
+    return alignment.with_fr4(rows, "TGGG").select("p_partkey", "cdr3_nt", "fr4_nt", "fr4_frame")
+
+
 @query("""select p_partkey, array_to_string(list_sort(list_distinct([x for x in regexp_split_to_array(upper(p_name || '*01, (' || p_type || ')'), '[ ;,()\\[\\]*]') if x <> ''])), ',') as parts,
 p_name || ',' || p_type as cleaned from part""")
 def gene_words(spark, sf):
@@ -513,8 +565,8 @@ g(i, s, n, centroid, seeds) as (
 
 @query(_greedy_sql("select p_name as s, count(*) as n from part group by all", 0.75) + "select s as p_name, n, centroid, centroid = s as is_seed from g")
 def greedy_cluster(spark, sf):
-    names = table(spark, sf, "part").groupBy("p_name").agg(F.count("*").alias("n"))
-    return cluster.greedy_clusters(names, "p_name", "n", 0.75)
+    counts = table(spark, sf, "part").groupBy("p_name").agg(F.count("*").alias("n"))
+    return cluster.greedy_clusters(counts, "p_name", "n", 0.75)
 
 
 @query(_greedy_sql("select p_name as s, sum(p_size) as n from part group by all having sum(p_size) >= 100", 0.8) + "select p_partkey, p_name, p_size::bigint as p_size, g.centroid as clonotype from part left join g on g.s = p_name")
@@ -526,5 +578,5 @@ def clonotype_join(spark, sf):
 @query(_greedy_sql("select c_name as s, count(*) as n from customer where c_mktsegment = 'BUILDING' group by all", 0.95) + "select centroid, count(*) as size, sum(n)::bigint as total from g group by all")
 def greedy_cluster_names(spark, sf):
     """Names with one common prefix, in a number that grows with the table: no gram of the prefix may pair them all."""
-    names = table(spark, sf, "customer").filter("c_mktsegment = 'BUILDING'").groupBy("c_name").agg(F.count("*").alias("n"))
-    return cluster.greedy_clusters(names, "c_name", "n", 0.95).groupBy("centroid").agg(F.count("*").alias("size"), F.sum("n").alias("total"))
+    counts = table(spark, sf, "customer").filter("c_mktsegment = 'BUILDING'").groupBy("c_name").agg(F.count("*").alias("n"))
+    return cluster.greedy_clusters(counts, "c_name", "n", 0.95).groupBy("centroid").agg(F.count("*").alias("size"), F.sum("n").alias("total"))

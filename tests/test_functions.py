@@ -185,3 +185,11 @@ def test_best_window_against_a_plain_search():
                 best, at = p, i
         got = motif.best_window(aa, side)
         assert math.isclose(got[0], best, rel_tol=1e-9) and (got[1] == at or math.isclose(best, got[0]))
+
+
+def test_next_folder():
+    from quillon.functions.names import next_folder
+
+    assert next_folder("run", ["other", "runs"]) == "run"
+    assert next_folder("run", ["run"]) == "run_1"
+    assert next_folder("run", ["run", "run_2", "run_x"]) == "run_3"
