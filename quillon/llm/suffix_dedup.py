@@ -120,7 +120,7 @@ def _own_anchors(rows: list[tuple[int | None, bytes]], length: int, k: int) -> t
     unzip = zstandard.ZstdDecompressor().decompress
     hashes, docs = [np.zeros(0, np.uint64)], []
     for doc, packed in rows:
-        got = np.unique(anchors(unzip(packed), length, k)[0]) if doc is not None else hashes[0][:0]
+        got = anchors(unzip(packed), length, k)[0] if doc is not None else hashes[0][:0]
         hashes.append(got)
         docs.append(np.full(len(got), doc or 0, dtype=np.int64))
     h, d = np.concatenate(hashes), np.concatenate([*docs, np.zeros(0, np.int64)])
@@ -230,11 +230,12 @@ def _in_order(texts: pa.Table) -> list[tuple[int | None, bytes]]:
 def _pieces(texts: pa.Table, notes: list[tuple[int, bytes]], bucket: int, n_keys: int, length: int, k: int) -> pa.Table:
     """The pieces of a bucket by shard, and under a negative shard where its documents have them."""
     rows = _in_order(texts)
-    known = _own_anchors(rows, length, k)[0]
+    unzip = zstandard.ZstdDecompressor().decompress
+    cuts = [anchors(unzip(packed), length, k) if doc is not None else None for doc, packed in rows]
+    known = np.unique(np.concatenate([np.zeros(0, np.uint64), *(c[0] for c in cuts if c)]))
     bits = dict(notes)
     parts = [own[np.unpackbits(np.frombuffer(bits[int(known[own[0]]) % n_keys], dtype=np.uint8), count=len(own)).astype(bool)] for own in _by_bucket(known, n_keys)]
     known = known[np.sort(np.concatenate([*parts, np.zeros(0, np.int64)]))]
-    unzip = zstandard.ZstdDecompressor().decompress
     number: dict[bytes, int] = {}
     low: list[int] = []
     gram_of: list[int] = []
@@ -242,13 +243,16 @@ def _pieces(texts: pa.Table, notes: list[tuple[int, bytes]], bucket: int, n_keys
     numbers: list[int] = []
     places: list[np.ndarray] = []
     widths: list[np.ndarray] = []
-    for doc, packed in rows:
-        if doc is None or not len(known):
+    for (doc, packed), cut in zip(rows, cuts):
+        if cut is None or not len(known):
             counts.append(0)
             continue
-        text = unzip(packed)
-        hashes, starts = anchors(text, length, k)
+        hashes, starts = cut
         hit = np.flatnonzero(known[np.minimum(np.searchsorted(known, hashes), len(known) - 1)] == hashes)
+        if not len(hit):
+            counts.append(0)
+            continue
+        text = unzip(packed)
         at, sizes = starts[hit], starts[hit + 1] - starts[hit]
         counts.append(len(hit))
         places.append(at.astype(np.uint32))
